@@ -1,6 +1,6 @@
 """All named queries; importing this package fills ``REGISTRY``."""
 
-from floe.plans import text_queries  # noqa: F401
+from floe.plans import text_queries, window_queries  # noqa: F401
 from floe.plans.registry import REGISTRY, Query, query
 
 __all__ = ["REGISTRY", "Query", "query"]
