@@ -1,0 +1,87 @@
+"""Stateful steps that follow a windowed streaming aggregation.
+
+Structured Streaming rejects SQL window functions (``lag``, ``row_number``)
+on streams, so the two window-over-window operators are keyed processors:
+
+* ``PreviousWindowChange``: per key, keeps the previous window's maximum in
+  value state (one double per key) and emits the change of every window.
+  Several closed windows of one key can arrive in one micro-batch; they are
+  applied in window order.
+* ``TopNPerWindow``: keyed by window end.  In append mode the upstream
+  aggregate emits all counts of a window in the micro-batch where the
+  watermark passes its end, so the ranking needs no state; the processor
+  streams through the rows keeping only the best ``n``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+PREV_STATE_SCHEMA = "prev DOUBLE"
+
+
+class PreviousWindowChange(StatefulProcessor):
+    """Input rows: key, window_start, window_end, first_ts, last_ts,
+    min_price, max_price[, alert columns].  Output: the same plus prev_max and
+    pct_change; with ``threshold`` set, only windows moving more than it."""
+
+    def __init__(self, key_col: str, threshold: float | None = None):
+        self.key_col = key_col
+        self.threshold = threshold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev_max", PREV_STATE_SCHEMA)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [r for r in rows]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values("window_start", kind="stable")
+        prev = self.prev.get()[0] if self.prev.exists() else None
+        prevs, changes, keep = [], [], []
+        for cur in pdf["max_price"].tolist():
+            prevs.append(prev)
+            if prev is None or prev == 0:
+                changes.append(0.0)
+                moved = False
+            else:
+                changes.append((cur - prev) / prev * 100)
+                moved = self.threshold is not None and abs((cur - prev) / prev) * 100 > self.threshold
+            keep.append(moved if self.threshold is not None else True)
+            prev = cur
+        self.prev.update((float(prev),))
+        pdf = pdf.assign(prev_max=prevs, pct_change=changes)
+        yield pdf[keep].reset_index(drop=True)
+
+    def close(self) -> None:
+        pass
+
+
+class TopNPerWindow(StatefulProcessor):
+    """Input rows: window_end, item_id, view_count.  Output adds a 0-based
+    ``rank``: count descending, ties by item id ascending."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best: pd.DataFrame | None = None
+        for chunk in rows:
+            merged = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
+            best = merged.sort_values(
+                ["view_count", "item_id"], ascending=[False, True], kind="stable"
+            ).head(self.n)
+        if best is None or best.empty:
+            return
+        best = best.reset_index(drop=True)
+        best["rank"] = range(len(best))
+        yield best.astype({"rank": "int32"})
+
+    def close(self) -> None:
+        pass
