@@ -15,11 +15,17 @@ on streams, so the two window-over-window operators are keyed processors:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# The processors travel to Python workers by value (they only need pandas),
+# so workers do not have to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PREV_STATE_SCHEMA = "prev DOUBLE"
 
 
