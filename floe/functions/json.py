@@ -53,3 +53,17 @@ def unknown_keys(text: Column, declared: Sequence[str]) -> Column:
     (strict mode: a non-empty result is a rejection)."""
     keys = F.json_object_keys(text)
     return F.array_except(keys, F.array(*[F.lit(k) for k in declared]))
+
+
+def parse_once(
+    df: DataFrame, text_col: str, schema: T.DataType, alias: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep`` columns plus the parsed record as ``alias``, parsed once per row.
+
+    Reading many leaves of ``from_json(...)`` lets the optimizer split the
+    parse into one pruned ``from_json`` per leaf (dozens of parses of the
+    same text).  Producing the record through a one-element generator keeps
+    a single parse; later projections read the struct.
+    """
+    once = F.explode(F.array(parse(F.col(text_col), schema)))
+    return df.select(*keep, once.alias(alias))

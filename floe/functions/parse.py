@@ -49,21 +49,29 @@ def parse_delimited(
         empty = lines.where(F.lit(False)).select(*keep, F.col(line_col), F.lit("").alias("reason"))
         return Parsed(valid, empty)
 
-    typed = [
-        F.get(arr, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
-    ]
-    staged = lines.select(*keep, F.col(line_col), F.size(arr).alias("_n"), *typed)
+    # Parse once per line into a struct.  The valid/quarantine split is a
+    # generator (explode of a 0- or 1-element array) rather than a filter: a
+    # filter on the parsed fields would be pushed below the projection with
+    # the parse inlined once per predicate, re-splitting every line ~n times.
+    typed = [F.get(arr, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    staged = lines.select(
+        *keep, F.col(line_col), F.struct(F.size(arr).alias("_n"), *typed).alias("_r")
+    )
     all_typed = F.lit(True)
     for f in schema.fields:
-        all_typed = all_typed & F.col(f.name).isNotNull()
-    reason = (
-        F.when(F.col("_n") != n, F.lit("wrong_arity"))
-        .when(~all_typed, F.lit("bad_value"))
-        .otherwise(F.lit(None).cast("string"))
-    )
-    staged = staged.withColumn("reason", reason)
-    valid = staged.where(F.col("reason").isNull()).select(*keep, *[f.name for f in schema.fields])
-    bad = staged.where(F.col("reason").isNotNull()).select(*keep, line_col, "reason")
+        all_typed = all_typed & F.col("_r").getField(f.name).isNotNull()
+    arity_ok = F.col("_r").getField("_n") == n
+    record = F.struct(*[F.col("_r").getField(f.name).alias(f.name) for f in schema.fields])
+    valid = staged.select(
+        *keep,
+        F.explode(F.when(arity_ok & all_typed, F.array(record)).otherwise(F.array())).alias("_v"),
+    ).select(*keep, *[F.col("_v").getField(f.name).alias(f.name) for f in schema.fields])
+    reason = F.when(~arity_ok, F.lit("wrong_arity")).when(~all_typed, F.lit("bad_value"))
+    bad_row = F.struct(F.col(line_col).alias(line_col), reason.alias("reason"))
+    bad = staged.select(
+        *keep,
+        F.explode(F.when(reason.isNotNull(), F.array(bad_row)).otherwise(F.array())).alias("_b"),
+    ).select(*keep, F.col("_b").getField(line_col).alias(line_col), F.col("_b.reason").alias("reason"))
     return Parsed(valid, bad)
 
 

@@ -266,9 +266,9 @@ def _match_text(spark, sf_dir):
     """,
 )
 def q_nested_defaults(spark, sf_dir):
-    rows = _match_text(spark, sf_dir)
-    m = fill_defaults(J.parse(F.col("value"), MATCH), MATCH_TREE).alias("m")
-    return rows.select("event_id", m).select(
+    parsed = J.parse_once(_match_text(spark, sf_dir), "value", MATCH, "raw", keep=["event_id"])
+    m = fill_defaults(F.col("raw"), MATCH_TREE).alias("m")
+    return parsed.select("event_id", m).select(
         "event_id",
         F.col("m.fixture.id").alias("id"),
         F.col("m.fixture.referee").alias("referee"),
