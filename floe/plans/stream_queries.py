@@ -11,18 +11,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from floe.functions.time import instant_to_ntz
-from floe.operators.aggregates import count_rows, sum_of
-from floe.operators.change import window_price_stats
+from floe.operators.aggregates import count_rows
 from floe.operators.windows import windowed
 from floe.plans import window_queries as W
 from floe.plans.registry import REGISTRY, query
-from floe.session import ship_package
 from floe.sources.tables import read_table
 from floe.streaming.event_time import guarded_filter, with_event_time
-from floe.streaming.processors import PreviousWindowChange, TopNPerWindow
+from floe.streaming.operators import stream_top_items, stream_window_change
 from floe.streaming.replay import replay_files
 from floe.streaming.runner import run_batches, run_to_frame
 
@@ -39,33 +36,12 @@ def _ntz(*cols):
     return [instant_to_ntz(F.col(c)).alias(c) for c in cols]
 
 
-_CHANGE_OUT = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("first_ts", T.TimestampType()),
-        T.StructField("last_ts", T.TimestampType()),
-        T.StructField("min_price", T.DoubleType()),
-        T.StructField("max_price", T.DoubleType()),
-        T.StructField("prev_max", T.DoubleType()),
-        T.StructField("pct_change", T.DoubleType()),
-    ]
-)
-
-
 @query("stream_track_change", oracle=REGISTRY["track_change"].oracle)
 def q_stream_track_change(spark, sf_dir):
-    ship_package(spark)
     ev = W.events(spark, sf_dir, "user_id", "ts", "value", "event_id")
     sentinel = {"user_id": -1, "ts": FAR_FUTURE, "value": 0.0, "event_id": -1}
     timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
-    stats = window_price_stats(
-        timed, "user_id", "ts", "value", W.TRACK_SIZE, id_col="event_id", strategy="direct"
-    ).select(*[f.name for f in _CHANGE_OUT.fields if f.name not in ("prev_max", "pct_change")])
-    changed = stats.groupBy("user_id").transformWithStateInPandas(
-        PreviousWindowChange("user_id"), _CHANGE_OUT, "Append", "None"
-    )
+    changed = stream_window_change(timed, "user_id", "ts", "value", W.TRACK_SIZE, id_col="event_id")
     out = run_to_frame(spark, changed, "track_change")
     return out.where(F.col("user_id") != -1).select(
         "user_id",
@@ -76,16 +52,6 @@ def q_stream_track_change(spark, sf_dir):
     )
 
 
-_TOPN_OUT = T.StructType(
-    [
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("view_count", T.LongType()),
-        T.StructField("rank", T.IntegerType()),
-    ]
-)
-
-
 def _guarded_views(spark, sf_dir):
     ev = W.events(spark, sf_dir, "ts", "event_type", "props")
     sentinel = {"ts": FAR_FUTURE, "event_type": "__end__", "props": "{}"}
@@ -95,15 +61,9 @@ def _guarded_views(spark, sf_dir):
 
 @query("stream_topn", oracle=REGISTRY["topn_items"].oracle)
 def q_stream_topn(spark, sf_dir):
-    ship_package(spark)
     views = _guarded_views(spark, sf_dir).select("ts", W.item_of(F.col("props")).alias("item_id"))
     size, slide = W.ITEM_WINDOW
-    counts = windowed(
-        views, "ts", size, [count_rows("view_count")], slide=slide, keys=["item_id"], strategy="direct"
-    ).select("window_end", "item_id", "view_count")
-    ranked = counts.groupBy("window_end").transformWithStateInPandas(
-        TopNPerWindow(W.TOP_N), _TOPN_OUT, "Append", "None"
-    )
+    ranked = stream_top_items(views, "ts", "item_id", size, slide, W.TOP_N)
     out = run_to_frame(spark, ranked, "topn")
     return out.select(*_ntz("window_end"), "item_id", "view_count", "rank")
 
