@@ -84,7 +84,7 @@ _SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 
 
 def _click_lines(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"], spread_rows=True)
     r = F.pmod("event_id", F.lit(100))
     seconds = F.expr(_SECONDS).cast("string")
     item = F.get_json_object("props", "$.k")
@@ -154,7 +154,7 @@ def _line_struct_type():
 
 
 def _envelopes(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *_LINE_FIELDS])
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *_LINE_FIELDS], spread_rows=True)
     packed = li.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct(*_LINE_FIELDS))).alias("lines")
     )
@@ -220,7 +220,7 @@ _FIXTURE_ID_MOD = 1000000007
 
 
 def _match_text(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"], spread_rows=True)
     et = F.col("event_type")
     fid = F.pmod("event_id", F.lit(_FIXTURE_ID_MOD)).cast("string")
     referee = (

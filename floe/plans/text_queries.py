@@ -21,7 +21,7 @@ from floe.sources.text import text_columns
     """,
 )
 def q_word_count(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents", ["text"])
+    docs = read_table(spark, sf_dir, "documents", ["text"], spread_rows=True)
     return word_count(docs, "text")
 
 
@@ -37,8 +37,8 @@ def q_word_count(spark, sf_dir):
 )
 def q_union_all_word_count(spark, sf_dir):
     lines = text_columns(
-        (read_table(spark, sf_dir, "documents", ["text"]), "text"),
-        (read_table(spark, sf_dir, "benchmark", ["text"]), "text"),
+        (read_table(spark, sf_dir, "documents", ["text"], spread_rows=True), "text"),
+        (read_table(spark, sf_dir, "benchmark", ["text"], spread_rows=True), "text"),
     )
     return word_count(lines)
 
