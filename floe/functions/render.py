@@ -59,3 +59,8 @@ def render_top_n(window_end: Column, rank: Column, item_id: Column, count: Colum
         F.lit(" views="),
         count.cast("string"),
     )
+
+
+def theta_line(theta0: Column, theta1: Column) -> Column:
+    """Regression parameters as one text line ``theta0 theta1``."""
+    return F.concat_ws(" ", theta0.cast("string"), theta1.cast("string"))

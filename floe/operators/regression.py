@@ -116,8 +116,11 @@ def synthetic_points(rows: DataFrame, seed: int = 0, slope: float = 2.0, noise:
     )
 
 
+def point_line(x: Column, y: Column) -> Column:
+    """``x y`` with two decimals, space separated."""
+    return F.concat_ws(" ", F.format_string("%.2f", x), F.format_string("%.2f", y))
+
+
 def render_points(points: DataFrame) -> DataFrame:
     """Space-separated text lines ``x y`` with two decimals."""
-    return points.select(
-        F.concat_ws(" ", F.format_string("%.2f", "x"), F.format_string("%.2f", "y")).alias("value")
-    )
+    return points.select(point_line(F.col("x"), F.col("y")).alias("value"))

@@ -37,3 +37,9 @@ def text_columns(*pairs: tuple[DataFrame, str]) -> DataFrame:
         DataFrame.unionByName,
         [frame.select(F.col(col).alias("value")) for frame, col in pairs],
     )
+
+
+def stream_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """``value STRING`` lines from a TCP socket (demo source: not replayable,
+    no fault tolerance; use a file or Kafka stream in production)."""
+    return spark.readStream.format("socket").option("host", host).option("port", str(port)).load()

@@ -44,3 +44,8 @@ def write_console(df: DataFrame, checkpoint: str | None = None) -> StreamingQuer
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return writer.start()
+
+
+def write_text(df: DataFrame, encoded: Column, path: str, single_writer: bool = False, mode: str = "overwrite") -> None:
+    """Batch text files, one line per row."""
+    as_text(df, encoded, single_writer).write.mode(mode).text(path)
