@@ -52,6 +52,21 @@ def q_stream_track_change(spark, sf_dir):
     )
 
 
+@query("stream_large_delta", oracle=REGISTRY["large_delta"].oracle)
+def q_stream_large_delta(spark, sf_dir):
+    ev = W.events(spark, sf_dir, "event_type", "ts", "value", "event_id")
+    sentinel = {"event_type": "__end__", "ts": FAR_FUTURE, "value": 0.0, "event_id": -1}
+    timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
+    size, slide = W.DELTA_WINDOW
+    alerts = stream_window_change(
+        timed, "event_type", "ts", "value", size, slide=slide, id_col="event_id", threshold=W.DELTA_THRESHOLD
+    )
+    out = run_to_frame(spark, alerts, "large_delta")
+    return out.select(
+        "event_type", *_ntz("window_start"), "max_price", *_ntz("max_ts"), "prev_max", "pct_change"
+    )
+
+
 def _guarded_views(spark, sf_dir):
     ev = W.events(spark, sf_dir, "ts", "event_type", "props")
     sentinel = {"ts": FAR_FUTURE, "event_type": "__end__", "props": "{}"}
