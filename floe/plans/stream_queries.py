@@ -23,7 +23,7 @@ from floe.streaming.operators import stream_top_items, stream_window_change
 from floe.streaming.replay import replay_files
 from floe.streaming.runner import run_batches, run_to_frame
 
-REPLAY_CHUNKS = 6
+REPLAY_CHUNKS = None  # scale with the table (see floe.streaming.replay)
 FAR_FUTURE = dt.datetime(2200, 1, 1)
 
 

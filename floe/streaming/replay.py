@@ -1,48 +1,64 @@
 """Replay a bounded table as an ordered stream of files.
 
-The table is cut into event-time ranges (boundaries from an approximate
-quantile pass); each range is written by its own job, in order, so the file
-source -- which takes files oldest first -- sees the ranges in event-time
-order, one range per micro-batch.  A final file holds a sentinel row far in
-the future: Structured Streaming has no end-of-input flush, and the sentinel
-moves the watermark past every real window.
-
-Files go under the session's shared checkpoint folder, never a local temp dir.
+One parallel job range-partitions the table by event time and writes one
+file per range (partition ``i`` holds the ``i``-th range).  The file source
+takes files oldest first, so the files' modification times are then set in
+range order through the Hadoop FileSystem API -- a metadata-only step on the
+driver, no data passes through it.  Read with ``maxFilesPerTrigger = 1``,
+every micro-batch is exactly one time range, in order.
+
+A final file holds a sentinel row far in the future: Structured Streaming
+has no end-of-input flush, and the sentinel moves the watermark past every
+real window.  Files go under the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from floe.session import scratch_path
 
+# Rows per replayed file (one micro-batch each) when no chunk count is given.
+ROWS_PER_CHUNK = 2_000_000
+MIN_CHUNKS = 4
+
+
+def _data_files(spark: SparkSession, directory: str) -> list:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statuses = fs.listStatus(path)
+    files = [s.getPath() for s in statuses if s.isFile() and s.getPath().getName().startswith("part-")]
+    return fs, sorted(files, key=lambda p: p.getName())
+
 
 def replay_files(
     spark: SparkSession,
     df: DataFrame,
     ts_col: str,
-    chunks: int,
+    chunks: int | None = None,
     sentinel: dict | None = None,
 ) -> str:
-    """Write ``df`` as ``chunks`` event-time-ordered parquet batches (plus a
-    sentinel batch) into a fresh directory; returns the directory."""
+    """Write ``df`` as event-time-ordered parquet files (plus a sentinel
+    file) into a fresh directory; returns the directory."""
     out = scratch_path(spark, "replay")
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts_col))
-    keyed = df.withColumn("_t", micros)
-    probs = [i / chunks for i in range(1, chunks)]
-    bounds: Sequence[float] = keyed.approxQuantile("_t", probs, 0.0001) if probs else []
-    edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_t") > F.lit(int(lo)))
-        if hi is not None:
-            cond = cond & (F.col("_t") <= F.lit(int(hi)))
-        # one file per range: the source then takes exactly one range per trigger
-        keyed.where(cond).drop("_t").coalesce(1).write.mode("append").parquet(out)
+    if chunks is None:
+        chunks = max(MIN_CHUNKS, math.ceil(df.count() / ROWS_PER_CHUNK))
+    (
+        df.repartitionByRange(chunks, ts_col)
+        .write.option("maxRecordsPerFile", 0)
+        .parquet(out)
+    )
+    fs, ordered = _data_files(spark, out)
     if sentinel is not None:
-        spark.createDataFrame([sentinel], df.schema).write.mode("append").parquet(out)
+        spark.createDataFrame([sentinel], df.schema).coalesce(1).write.mode("append").parquet(out)
+        _, after = _data_files(spark, out)
+        known = {p.toString() for p in ordered}
+        ordered += [p for p in after if p.toString() not in known]
+    base_ms = int(time.time() * 1000) - 1000 * (len(ordered) + 60)
+    for i, path in enumerate(ordered):
+        fs.setTimes(path, base_ms + 1000 * i, -1)
     return out
