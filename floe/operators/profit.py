@@ -12,17 +12,24 @@ MONEY_SUM = "decimal(38,2)"
 def keyed_profit(
     df: DataFrame, key: Column, amount: Column, carry: Column, carry_order: Column
 ) -> DataFrame:
-    """``key, profit, n, first_<carry>, avg_profit`` per key.
+    """``key, profit, n, carried, avg_profit`` per key.
 
-    Money is summed as DECIMAL so the total is exact and order-independent;
-    the carried attribute comes from the row with the smallest ``carry_order``
-    (a mergeable ``min_by``).  All pieces aggregate partially before the
-    shuffle.
+    Money is summed as DECIMAL so the total is exact and order-independent.
+    The carried attribute comes from the row with the smallest
+    ``carry_order``.  ``min_by`` over a string buffer would force a sort of
+    every input row (SortAggregate), so the carried value is made a grouping
+    key of a first, hash-aggregated pass -- (key, carry) -> sum, count,
+    min(order) -- and the second pass over those few rows picks the carry.
     """
-    agg = df.groupBy(key.alias("key")).agg(
-        F.sum(amount.cast(MONEY)).cast(MONEY_SUM).alias("profit"),
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(carry, carry_order).alias("carried"),
+    first = df.groupBy(key.alias("key"), carry.alias("carried")).agg(
+        F.sum(amount.cast(MONEY)).alias("_p"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min(carry_order).alias("_o"),
+    )
+    agg = first.groupBy("key").agg(
+        F.sum("_p").cast(MONEY_SUM).alias("profit"),
+        F.sum("_n").alias("n"),
+        F.min_by("carried", "_o").alias("carried"),
     )
     return agg.select(
         "key",

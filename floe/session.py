@@ -92,23 +92,3 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
             else:
                 spark.conf.set(key, value)
 
-
-_SHIPPED: set[int] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``floe`` importable in Python workers (stateful processors, pandas
-    functions) by adding a zip of the package to the session once."""
-    key = id(spark.sparkContext)
-    if key in _SHIPPED:
-        return
-    import shutil
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    # Driver-side build artefact; addPyFile copies it to every executor.
-    base = tempfile.mkdtemp(prefix="floe-pyfiles-")
-    archive = shutil.make_archive(
-        f"{base}/floe", "zip", root_dir=os.path.dirname(pkg_dir), base_dir="floe"
-    )
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(key)
