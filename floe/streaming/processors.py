@@ -46,7 +46,8 @@ class PreviousWindowChange(StatefulProcessor):
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True).sort_values("window_start", kind="stable")
-        prev = self.prev.get()[0] if self.prev.exists() else None
+        stored = self.prev.get()  # None until the key's first window
+        prev = stored[0] if stored is not None else None
         prevs, changes, keep = [], [], []
         for cur in pdf["max_price"].tolist():
             prevs.append(prev)
