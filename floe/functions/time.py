@@ -13,17 +13,30 @@ from pyspark.sql import functions as F
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def ntz_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
+def ntz_to_instant(ts: Column) -> Column:
+    """TIMESTAMP_NTZ wall clock -> TIMESTAMP instant (wall clock read as UTC).
+
+    Built from the wall-clock fields with an explicit UTC zone: casting or
+    diffing NTZ values goes through the session zone and is off by an hour
+    inside a daylight-saving gap.
+    """
+    return F.make_timestamp(
+        F.year(ts),
+        F.month(ts),
+        F.dayofmonth(ts),
+        F.hour(ts),
+        F.minute(ts),
+        F.date_part(F.lit("SECOND"), ts),
+        F.lit("UTC"),
+    )
 
 
-def ntz_seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), ts)
+def ntz_micros(ts: Column) -> Column:
+    return F.unix_micros(ntz_to_instant(ts))
 
 
-def ntz_to_instant(ts: Column) -> Column:
-    """TIMESTAMP_NTZ wall clock -> TIMESTAMP instant (wall clock read as UTC)."""
-    return F.timestamp_micros(ntz_micros(ts))
+def ntz_seconds(ts: Column) -> Column:
+    return F.unix_seconds(ntz_to_instant(ts))
 
 
 def instant_to_ntz(ts: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from floe.functions import json as J
 from floe.functions.parse import parse_delimited
+from floe.functions.time import ntz_seconds
 from floe.functions.urls import fill_template
 from floe.operators.profit import keyed_profit
 from floe.plans.registry import query
@@ -80,13 +81,11 @@ def q_url_template(spark, sf_dir):
 # events rendered as click lines "user,item,category,behavior,seconds"; every
 # 100th event carries a non-number and every 100th (offset 50) loses a field.
 
-_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
-
 
 def _click_lines(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"], spread_rows=True)
     r = F.pmod("event_id", F.lit(100))
-    seconds = F.expr(_SECONDS).cast("string")
+    seconds = ntz_seconds(F.col("ts")).cast("string")
     item = F.get_json_object("props", "$.k")
     category = F.pmod("user_id", F.lit(10)).cast("string")
     head = [F.col("user_id").cast("string"), item, category, F.col("event_type")]

@@ -261,3 +261,20 @@ def test_templates_renderers_and_options(spark):
     assert line.t == "(731652)"
     opts = kafka_options("broker:9092", "matches")
     assert opts["startingOffsets"] == "earliest" and "kafka.group.id" not in opts
+
+
+def test_time_conversions_ignore_session_zone(spark):
+    from floe.functions.time import instant_to_ntz, ntz_micros, ntz_to_instant
+    from floe.session import scoped_conf
+
+    df = spark.sql(
+        "SELECT timestamp_ntz'2024-03-10 02:30:00' AS ts UNION ALL "
+        "SELECT timestamp_ntz'2024-07-15 12:34:56.789012'"
+    )
+    with scoped_conf(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}):
+        rows = df.select(
+            "ts", ntz_micros(F.col("ts")).alias("us"), instant_to_ntz(ntz_to_instant(F.col("ts"))).alias("back")
+        ).collect()
+    for r in rows:
+        assert r.us == (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        assert r.back == r.ts
