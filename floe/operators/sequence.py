@@ -58,3 +58,28 @@ def with_previous_row(
         *[F.col(c) for c in df.columns],
         *[expr.alias(prefix + c) for c, expr in prev.items()],
     )
+
+
+def quantile_buckets(
+    df: DataFrame, ts_col: str, buckets: int, relative_error: float = 0.001
+) -> tuple[DataFrame, str]:
+    """Adds a bucket column cut at approximate quantiles of event time.
+
+    Buckets follow the data's density: a burst holding a third of the rows
+    gets about a third of the buckets, so no (key, bucket) group is much
+    larger than ``rows / buckets`` unless single timestamps repeat that often.
+    One sketch pass (bounded size) on the driver, then a JVM-side binary
+    search per row.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    from floe.functions.time import ntz_micros
+
+    is_ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    micros = ntz_micros(F.col(ts_col)) if is_ntz else F.unix_micros(F.col(ts_col))
+    with_t = df.withColumn("_t", micros.cast("double"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(with_t.approxQuantile("_t", probs, relative_error)))
+    splits = [float("-inf"), *cuts, float("inf")]
+    out = Bucketizer(splits=splits, inputCol="_t", outputCol="_qbucket", handleInvalid="keep").transform(with_t)
+    return out.drop("_t"), "_qbucket"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floe.operators.sequence import with_previous_row
+from floe.operators.sequence import quantile_buckets, with_previous_row
 
 # Fixed values of the order a jump produces: parent order id, action,
 # quantity, limit price, take-profit price, stop-loss price.
@@ -33,17 +33,19 @@ def price_jumps(
 ) -> DataFrame:
     """``key, id, diff, direction`` and the order columns, one row per jump.
 
+    ``bucket`` cuts the order for the skew-safe previous row; by default the
+    cuts are quantiles of event time (see ``quantile_buckets``).
+
     ``diff = newest - previous``; ``direction`` is ``up`` / ``down``.  Both
     directions emit a Buy order, as the rule is written.
     """
-    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(ts_col))
-    with_prev = with_previous_row(
-        ticks.select(key, ts_col, id_col, price_col),
-        [key],
-        [ts_col, id_col],
-        [price_col],
-        bucket,
-    )
+    rows = ticks.select(key, ts_col, id_col, price_col)
+    if bucket is None:
+        # density-following time buckets: hot keys and bursts split evenly
+        parallelism = ticks.sparkSession.sparkContext.defaultParallelism
+        rows, name = quantile_buckets(rows, ts_col, max(64, 8 * parallelism))
+        bucket = F.col(name)
+    with_prev = with_previous_row(rows, [key], [ts_col, id_col], [price_col], bucket)
     diff = F.col(price_col) - F.col("prev_" + price_col)
     return (
         with_prev.select(key, id_col, diff.alias("diff"))
