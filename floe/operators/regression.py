@@ -88,14 +88,8 @@ def gd_step_with_params(
     every task as a constant, and an error if the frame has more than one
     row (no cross join, no driver round trip).
     """
-    return gd_step(
-        points,
-        params.select("theta0").scalar(),
-        params.select("theta1").scalar(),
-        rate,
-        x,
-        y,
-    )
+    theta = params.select(F.struct("theta0", "theta1")).scalar()
+    return gd_step(points, theta.getField("theta0"), theta.getField("theta1"), rate, x, y)
 
 
 def round_theta(df: DataFrame, digits: int = 6) -> DataFrame:
