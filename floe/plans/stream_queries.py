@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from floe.functions.time import instant_to_ntz
-from floe.operators.aggregates import count_rows
+from floe.operators.aggregates import count_rows, sum_of
 from floe.operators.windows import windowed
 from floe.plans import window_queries as W
 from floe.plans.registry import REGISTRY, query
@@ -112,3 +112,15 @@ def q_stream_proc_time(spark, sf_dir):
     return spark.read.parquet(sink).select(
         F.col("w.start").alias("window_start"), "month", "profit", "n"
     )
+
+
+@query("stream_sliding_sum", oracle=REGISTRY["sliding_sum"].oracle)
+def q_stream_sliding_sum(spark, sf_dir):
+    ev = W.events(spark, sf_dir, "ts", "props")
+    sentinel = {"ts": FAR_FUTURE, "props": '{"k": 0}'}
+    timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
+    nums = timed.select("ts", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    size, slide = W.SLIDING_SUM
+    sums = windowed(nums, "ts", size, [sum_of(F.col("k").cast("bigint"), "total")], slide=slide)
+    out = run_to_frame(spark, sums, "sliding_sum")
+    return out.select(*_ntz("window_start", "window_end"), "total")
