@@ -98,7 +98,7 @@ def windowed(
     )
 
 
-def processing_time_window(df: DataFrame, size: str) -> Column:
+def processing_time_window(size: str) -> Column:
     """Window on the wall clock of the micro-batch (all rows of one batch share
     one time, as in Spark's ``current_timestamp``)."""
     return F.window(F.current_timestamp(), size)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from floe.functions.time import instant_to_ntz
 from floe.operators.aggregates import count_rows, sum_of
-from floe.operators.windows import windowed
+from floe.operators.windows import processing_time_window, windowed
 from floe.plans import window_queries as W
 from floe.plans.registry import REGISTRY, query
 from floe.sources.tables import read_table
@@ -25,6 +25,7 @@ from floe.streaming.runner import run_batches, run_to_frame
 
 REPLAY_CHUNKS = None  # scale with the table (see floe.streaming.replay)
 FAR_FUTURE = dt.datetime(2200, 1, 1)
+PROC_WINDOW = "5 seconds"
 
 
 def _replayed(spark, df, sentinel):
@@ -32,6 +33,13 @@ def _replayed(spark, df, sentinel):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
+def _state_partitions(spark):
+    """Bounded replays: one state partition per core (the session default
+    may be sized for large shuffles, and each stateful Python task has a fixed
+    start-up cost per micro-batch)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _ntz(*cols):
     return [instant_to_ntz(F.col(c)).alias(c) for c in cols]
 
@@ -42,7 +50,7 @@ def q_stream_track_change(spark, sf_dir):
     sentinel = {"user_id": -1, "ts": FAR_FUTURE, "value": 0.0, "event_id": -1}
     timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
     changed = stream_window_change(timed, "user_id", "ts", "value", W.TRACK_SIZE, id_col="event_id")
-    out = run_to_frame(spark, changed, "track_change")
+    out = run_to_frame(spark, changed, "track_change", state_partitions=_state_partitions(spark))
     return out.where(F.col("user_id") != -1).select(
         "user_id",
         *_ntz("window_start", "window_end", "first_ts", "last_ts"),
@@ -61,7 +69,7 @@ def q_stream_large_delta(spark, sf_dir):
     alerts = stream_window_change(
         timed, "event_type", "ts", "value", size, slide=slide, id_col="event_id", threshold=W.DELTA_THRESHOLD
     )
-    out = run_to_frame(spark, alerts, "large_delta")
+    out = run_to_frame(spark, alerts, "large_delta", state_partitions=_state_partitions(spark))
     return out.select(
         "event_type", *_ntz("window_start"), "max_price", *_ntz("max_ts"), "prev_max", "pct_change"
     )
@@ -79,7 +87,7 @@ def q_stream_topn(spark, sf_dir):
     views = _guarded_views(spark, sf_dir).select("ts", W.item_of(F.col("props")).alias("item_id"))
     size, slide = W.ITEM_WINDOW
     ranked = stream_top_items(views, "ts", "item_id", size, slide, W.TOP_N)
-    out = run_to_frame(spark, ranked, "topn")
+    out = run_to_frame(spark, ranked, "topn", state_partitions=_state_partitions(spark))
     return out.select(*_ntz("window_end"), "item_id", "view_count", "rank")
 
 
@@ -88,7 +96,7 @@ def q_stream_guarded_filter(spark, sf_dir):
     views = _guarded_views(spark, sf_dir)
     size, slide = W.SLIDING_COUNT
     counts = windowed(views, "ts", size, [count_rows("view_count")], slide=slide, strategy="direct")
-    out = run_to_frame(spark, counts, "guarded_filter")
+    out = run_to_frame(spark, counts, "guarded_filter", state_partitions=_state_partitions(spark))
     return out.select(*_ntz("window_start", "window_end"), "view_count")
 
 
@@ -102,13 +110,15 @@ def q_stream_proc_time(spark, sf_dir):
     sentinel = {"o_orderkey": -1, "o_totalprice": 0.0, "ts": FAR_FUTURE}
     stream = _replayed(spark, replay_src, sentinel).where(F.col("o_orderkey") >= 0)
     per_window = stream.groupBy(
-        F.window(F.current_timestamp(), "5 seconds").alias("w"),
+        processing_time_window(PROC_WINDOW).alias("w"),
         F.date_format("ts", "MMMM").alias("month"),
     ).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("profit"),
         F.count(F.lit(1)).alias("n"),
     )
-    sink = run_batches(spark, per_window, "proc_time", output_mode="update")
+    sink = run_batches(
+        spark, per_window, "proc_time", output_mode="update", state_partitions=_state_partitions(spark)
+    )
     return spark.read.parquet(sink).select(
         F.col("w.start").alias("window_start"), "month", "profit", "n"
     )
@@ -122,5 +132,5 @@ def q_stream_sliding_sum(spark, sf_dir):
     nums = timed.select("ts", F.get_json_object("props", "$.k").cast("int").alias("k"))
     size, slide = W.SLIDING_SUM
     sums = windowed(nums, "ts", size, [sum_of(F.col("k").cast("bigint"), "total")], slide=slide)
-    out = run_to_frame(spark, sums, "sliding_sum")
+    out = run_to_frame(spark, sums, "sliding_sum", state_partitions=_state_partitions(spark))
     return out.select(*_ntz("window_start", "window_end"), "total")

@@ -15,17 +15,27 @@ from floe.session import ROCKSDB_PROVIDER, scoped_conf, scratch_path
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
 
 
+def _start_conf(spark: SparkSession, state_partitions: int | None) -> dict[str, str]:
+    """State provider, and the number of state partitions (fixed in the
+    checkpoint at first start).  ``None`` keeps the session's setting."""
+    conf = dict(STATE_CONF)
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return conf
+
+
 def run_available(
     spark: SparkSession,
     stream: DataFrame,
     name: str,
     output_mode: str = "append",
     timeout_s: int = 600,
+    state_partitions: int | None = None,
 ) -> str:
     """Run ``stream`` to the end of its input; returns the sink directory."""
     base = scratch_path(spark, f"stream-{name}")
     sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
-    with scoped_conf(spark, STATE_CONF):
+    with scoped_conf(spark, _start_conf(spark, state_partitions)):
         query = (
             stream.writeStream.format("parquet")
             .outputMode(output_mode)
@@ -46,14 +56,21 @@ def run_available(
     return sink
 
 
-def run_to_frame(spark: SparkSession, stream: DataFrame, name: str, schema=None) -> DataFrame:
-    sink = run_available(spark, stream, name)
+def run_to_frame(
+    spark: SparkSession, stream: DataFrame, name: str, schema=None, state_partitions: int | None = None
+) -> DataFrame:
+    sink = run_available(spark, stream, name, state_partitions=state_partitions)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(sink)
 
 
 def run_batches(
-    spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "update", timeout_s: int = 600
+    spark: SparkSession,
+    stream: DataFrame,
+    name: str,
+    output_mode: str = "update",
+    timeout_s: int = 600,
+    state_partitions: int | None = None,
 ) -> str:
     """Modes a file sink cannot take (update / complete): each micro-batch is
     written by ``foreachBatch`` to its own ``batch=<id>`` folder, overwritten
@@ -64,7 +81,7 @@ def run_batches(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    with scoped_conf(spark, STATE_CONF):
+    with scoped_conf(spark, _start_conf(spark, state_partitions)):
         query = (
             stream.writeStream.outputMode(output_mode)
             .foreachBatch(write)
