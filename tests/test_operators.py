@@ -278,3 +278,17 @@ def test_time_conversions_ignore_session_zone(spark):
     for r in rows:
         assert r.us == (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
         assert r.back == r.ts
+
+
+@pytest.mark.parametrize("name", ["track_change", "large_delta"])
+def test_previous_window_across_small_buckets(spark, monkeypatch, name):
+    """Force 3 windows per bucket so most previous windows come from the
+    hand-off between buckets (including keys with empty stretches)."""
+    import floe.operators.change as change
+    from floe.plans import REGISTRY
+    from tests.oracle import compare
+
+    monkeypatch.setattr(change, "WINDOWS_PER_BUCKET", 3)
+    monkeypatch.setattr(change, "SINGLE_TASK_LAG_BYTES", 0)
+    report = compare(REGISTRY[name].build(spark, SF01), REGISTRY[name].oracle, SF01)
+    assert report["ok"], report
