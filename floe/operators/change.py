@@ -17,6 +17,7 @@ from floe.functions.durations import to_micros
 from floe.functions.time import ntz_micros
 from floe.operators.aggregates import Mergeable, count_rows, max_of, min_of, min_struct
 from floe.operators.sequence import with_previous_row
+from floe.operators.sizing import SINGLE_TASK_BYTES, fits_one_task
 from floe.operators.windows import windowed
 from floe.session import scratch_path
 
@@ -40,17 +41,8 @@ def exceeds_threshold(current: Column, previous: Column, threshold: float) -> Co
 
 # Windows per (key, bucket) in the previous-window lookup.
 WINDOWS_PER_BUCKET = 1024
-# Up to this estimated size the window table is lagged per key directly: no
-# key's windows can then overwhelm one task.
-SINGLE_TASK_LAG_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable
-        return None
+# Up to this estimated size the window table is lagged per key directly.
+SINGLE_TASK_LAG_BYTES = SINGLE_TASK_BYTES
 
 
 def with_previous_window(
@@ -71,8 +63,7 @@ def with_previous_window(
     previous non-empty run (``with_previous_row``).  ``slide`` is the distance
     between window starts (the size for tumbling windows).
     """
-    size = estimated_bytes(windows)
-    if windows.isStreaming or (size is not None and size <= SINGLE_TASK_LAG_BYTES):
+    if windows.isStreaming or fits_one_task(windows, SINGLE_TASK_LAG_BYTES):
         order = Window.partitionBy(*keys).orderBy("window_start")
         return windows.withColumn(prev_col, F.lag(value_col).over(order))
 

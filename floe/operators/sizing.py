@@ -1,0 +1,26 @@
+"""Size checks that choose between a single-task and a split strategy.
+
+Like a broadcast threshold: below the limit one task handles any group of
+the input comfortably, so the cheaper plan is used; above it (or when no
+estimate exists) the skew-safe plan is used.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Up to this estimated plan size, a group sorted in one task cannot hurt.
+SINGLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable
+        return None
+
+
+def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= (SINGLE_TASK_BYTES if limit is None else limit)

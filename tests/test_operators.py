@@ -292,3 +292,14 @@ def test_previous_window_across_small_buckets(spark, monkeypatch, name):
     monkeypatch.setattr(change, "SINGLE_TASK_LAG_BYTES", 0)
     report = compare(REGISTRY[name].build(spark, SF01), REGISTRY[name].oracle, SF01)
     assert report["ok"], report
+
+
+def test_price_jump_quantile_bucket_path_matches_oracle(spark, monkeypatch):
+    """Large-input path (quantile buckets + bucketed lag), forced on sf0.01."""
+    import floe.operators.signals as signals
+    from floe.plans import REGISTRY
+    from tests.oracle import compare
+
+    monkeypatch.setattr(signals, "SINGLE_TASK_LAG_BYTES", 0)
+    report = compare(REGISTRY["price_jump"].build(spark, SF01), REGISTRY["price_jump"].oracle, SF01)
+    assert report["ok"], report
