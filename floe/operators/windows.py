@@ -26,7 +26,9 @@ from floe.functions.durations import to_micros
 from floe.operators.aggregates import Mergeable
 
 # Fan-out from which slide-sized panes are pre-aggregated (batch only).
-PANE_FANOUT_THRESHOLD = 4
+# Measured on sf0.1 events (local[8]): panes win from fan-out 2 up (equal at
+# 2, 2x at 4 and 20, 7.6x at 24) even on sparse data, and more on dense data.
+PANE_FANOUT_THRESHOLD = 2
 
 
 def _shift(ts: Column, micros: Column) -> Column:
