@@ -3,7 +3,7 @@
 
 Each batch query is fully executed with the ``noop`` sink (every row is
 produced, nothing is collected to the driver); the reported time per query
-is the best of ``$BENCH_REPEAT`` runs (default 2).  Streaming queries replay
+is the best of ``$BENCH_REPEAT`` runs (default 3).  Streaming queries replay
 files through micro-batches and are reported separately.
 """
 
@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 WITH_STREAMS = os.environ.get("BENCH_STREAMS", "1") != "0"
 
 
