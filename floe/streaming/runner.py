@@ -31,9 +31,13 @@ def run_available(
     output_mode: str = "append",
     timeout_s: int = 600,
     state_partitions: int | None = None,
+    location: str | None = None,
 ) -> str:
-    """Run ``stream`` to the end of its input; returns the sink directory."""
-    base = scratch_path(spark, f"stream-{name}")
+    """Run ``stream`` to the end of its input; returns the sink directory.
+
+    ``location`` reuses a sink + checkpoint from an earlier run: the query
+    resumes after the last committed micro-batch (exactly-once sink)."""
+    base = location or scratch_path(spark, f"stream-{name}")
     sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
     with scoped_conf(spark, _start_conf(spark, state_partitions)):
         query = (
