@@ -60,8 +60,11 @@ def with_previous_row(
     )
 
 
+MAX_QUANTILE_BUCKETS = 16384
+
+
 def quantile_buckets(
-    df: DataFrame, ts_col: str, buckets: int, relative_error: float = 0.001
+    df: DataFrame, ts_col: str, buckets: int, relative_error: float | None = None
 ) -> tuple[DataFrame, str]:
     """Adds a bucket column cut at approximate quantiles of event time.
 
@@ -78,8 +81,11 @@ def quantile_buckets(
     is_ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
     micros = ntz_micros(F.col(ts_col)) if is_ntz else F.unix_micros(F.col(ts_col))
     with_t = df.withColumn("_t", micros.cast("double"))
+    buckets = max(1, min(buckets, MAX_QUANTILE_BUCKETS))
+    # the sketch must resolve cut points 1/buckets apart
+    eps = relative_error if relative_error is not None else min(0.001, 0.25 / buckets)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(with_t.approxQuantile("_t", probs, relative_error)))
+    cuts = sorted(set(with_t.approxQuantile("_t", probs, eps)))
     splits = [float("-inf"), *cuts, float("inf")]
     out = Bucketizer(splits=splits, inputCol="_t", outputCol="_qbucket", handleInvalid="keep").transform(with_t)
     return out.drop("_t"), "_qbucket"
