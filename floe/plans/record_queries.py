@@ -9,6 +9,7 @@ from floe.functions import json as J
 from floe.functions.parse import parse_delimited
 from floe.functions.time import ntz_seconds
 from floe.functions.urls import fill_template
+from floe.operators.envelopes import pack_envelopes
 from floe.operators.profit import keyed_profit
 from floe.plans.registry import query
 from floe.schemas import CLICKS, MATCH, MATCH_TREE, fill_defaults
@@ -133,8 +134,8 @@ def q_parse_quarantine(spark, sf_dir):
 
 
 # ---- JSON envelopes -------------------------------------------------------------
-# lineitem packed per order as {"response":[...]} (an order has a handful of
-# lines by the data model), elements sorted by their fields.
+# lineitem packed per order as {"response":[...]} pages (one page per order
+# at this size: an order has a handful of lines), elements sorted by fields.
 
 _LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
@@ -154,10 +155,7 @@ def _line_struct_type():
 
 def _envelopes(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *_LINE_FIELDS])
-    packed = li.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct(*_LINE_FIELDS))).alias("lines")
-    )
-    return packed.select("l_orderkey", J.pack_envelope(F.col("lines")).alias("value"))
+    return pack_envelopes(li, "l_orderkey", _LINE_FIELDS)
 
 
 _ORDERED_LINES_SQL = """
