@@ -23,7 +23,7 @@ from floe.session import scratch_path
 
 # Rows per replayed file (one micro-batch each) when no chunk count is given.
 ROWS_PER_CHUNK = 2_000_000
-MIN_CHUNKS = 4
+MIN_CHUNKS = 3
 
 
 def _data_files(spark: SparkSession, directory: str) -> list:
