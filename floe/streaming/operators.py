@@ -9,6 +9,7 @@ stateful processor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floe.operators.aggregates import count_rows
@@ -16,25 +17,25 @@ from floe.operators.change import window_price_stats
 from floe.operators.windows import windowed
 from floe.streaming.processors import PreviousWindowChange, TopNPerWindow
 
+_TIME_COLS = ["window_start", "window_end", "first_ts", "last_ts", "max_ts"]
 _STATS_COLS = ["window_start", "window_end", "first_ts", "last_ts", "min_price", "max_price", "max_ts"]
 
 
+def _to_micros(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[F.unix_micros(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _from_micros(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[F.timestamp_micros(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def _change_schema(key_field: T.StructField) -> T.StructType:
-    ts = T.TimestampType()
-    return T.StructType(
-        [
-            key_field,
-            T.StructField("window_start", ts),
-            T.StructField("window_end", ts),
-            T.StructField("first_ts", ts),
-            T.StructField("last_ts", ts),
-            T.StructField("min_price", T.DoubleType()),
-            T.StructField("max_price", T.DoubleType()),
-            T.StructField("max_ts", ts),
-            T.StructField("prev_max", T.DoubleType()),
-            T.StructField("pct_change", T.DoubleType()),
-        ]
-    )
+    long, dbl = T.LongType(), T.DoubleType()
+    fields = [key_field]
+    for name in _STATS_COLS:
+        fields.append(T.StructField(name, long if name in _TIME_COLS else dbl))
+    fields += [T.StructField("prev_max", dbl), T.StructField("pct_change", dbl)]
+    return T.StructType(fields)
 
 
 def stream_window_change(
@@ -53,14 +54,15 @@ def stream_window_change(
         stream, key, ts_col, price_col, size, slide=slide, id_col=id_col, strategy="direct"
     ).select(key, *_STATS_COLS)
     schema = _change_schema(stats.schema[key])
-    return stats.groupBy(key).transformWithStateInPandas(
-        PreviousWindowChange(key, threshold), schema, "Append", "None"
+    changed = _to_micros(stats, _TIME_COLS).groupBy(key).transformWithState(
+        PreviousWindowChange(threshold), schema, "Append", "None"
     )
+    return _from_micros(changed, _TIME_COLS)
 
 
 _TOPN_SCHEMA = T.StructType(
     [
-        T.StructField("window_end", T.TimestampType()),
+        T.StructField("window_end", T.LongType()),
         T.StructField("item_id", T.LongType()),
         T.StructField("view_count", T.LongType()),
         T.StructField("rank", T.IntegerType()),
@@ -74,7 +76,10 @@ def stream_top_items(
     """Top ``n`` items per window (count descending, ties by item id)."""
     counts = windowed(
         stream, ts_col, size, [count_rows("view_count")], slide=slide, keys=[item_col], strategy="direct"
-    ).selectExpr("window_end", f"CAST({item_col} AS BIGINT) AS item_id", "view_count")
-    return counts.groupBy("window_end").transformWithStateInPandas(
-        TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None"
+    ).select(
+        F.unix_micros("window_end").alias("window_end"),
+        F.col(item_col).cast("bigint").alias("item_id"),
+        "view_count",
     )
+    ranked = counts.groupBy("window_end").transformWithState(TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None")
+    return _from_micros(ranked, ["window_end"])
