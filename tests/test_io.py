@@ -70,3 +70,26 @@ def test_streaming_text_sink_appends_tuple_lines(spark):
     q.awaitTermination(120)
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["(1,a)", "(2,b)"]
     assert callable(write_text_stream) and callable(run_available)
+
+
+def test_whole_json_document_file_to_rows(spark):
+    """A multi-line envelope document read as one value, then exploded."""
+    from floe.functions.json import explode_envelope
+    from floe.schemas import MATCH
+    from floe.sources.text import read_whole_files
+
+    path = scratch_path(spark, "doc")
+    doc = '{\n "response": [\n  {"fixture": {"id": 1}},\n  {"fixture": {"id": 2}}\n ]\n}\n'
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    rows = explode_envelope(read_whole_files(spark, path), "value", MATCH)
+    assert sorted((r.pos, r.item.fixture.id) for r in rows.collect()) == [(0, 1), (1, 2)]
+
+
+def test_top_n_report_line(spark):
+    import datetime as dt
+
+    from floe.functions.render import render_top_n
+
+    df = spark.createDataFrame([(dt.datetime(2021, 10, 14, 10, 0, 5), 0, 12224, 2413)], "e timestamp_ntz, r int, i long, n long")
+    line = df.select(render_top_n(F.col("e"), F.col("r"), F.col("i"), F.col("n")).alias("v")).first().v
+    assert line == "2021-10-14 10:00:05 No0: item=12224 views=2413"
