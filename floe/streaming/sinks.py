@@ -21,17 +21,24 @@ def as_text(df: DataFrame, encoded: Column, single_writer: bool = False) -> Data
 
 
 def write_text_stream(
-    df: DataFrame, encoded: Column, path: str, checkpoint: str, single_writer: bool = False
+    df: DataFrame,
+    encoded: Column,
+    path: str,
+    checkpoint: str,
+    single_writer: bool = False,
+    available_now: bool = False,
 ) -> StreamingQuery:
     """Streaming row-format text files.  Text sinks only take append mode."""
-    return (
+    writer = (
         as_text(df, encoded, single_writer)
         .writeStream.format("text")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .start()
     )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = " ", mode: str = "overwrite") -> None:
@@ -39,10 +46,15 @@ def write_delimited(df: DataFrame, path: str, sep: str = " ", mode: str = "overw
     df.write.mode(mode).option("sep", sep).option("header", "false").csv(path)
 
 
-def write_console(df: DataFrame, checkpoint: str | None = None) -> StreamingQuery:
-    writer = df.writeStream.format("console").option("truncate", "false")
+def write_console(
+    df: DataFrame, checkpoint: str | None = None, available_now: bool = False, output_mode: str = "append"
+) -> StreamingQuery:
+    """Print every micro-batch (demo sink)."""
+    writer = df.writeStream.format("console").option("truncate", "false").outputMode(output_mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
     return writer.start()
 
 

@@ -10,8 +10,7 @@ from floe.session import scratch_path
 from floe.sources.delimited import read_points, read_sales
 from floe.sources.sequence import integer_sequence
 from floe.sources.text import read_lines, text_columns, union_text
-from floe.streaming.runner import run_available
-from floe.streaming.sinks import tuple_text, write_delimited, write_text, write_text_stream
+from floe.streaming.sinks import tuple_text, write_console, write_delimited, write_text, write_text_stream
 
 
 def test_sequence_is_inclusive(spark):
@@ -59,17 +58,12 @@ def test_streaming_text_sink_appends_tuple_lines(spark):
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(src)
     stream = spark.readStream.schema("k int, v string").parquet(src)
     out, ckpt = scratch_path(spark, "txt"), scratch_path(spark, "ckpt")
-    q = (
-        stream.select(tuple_text("k", "v").alias("value"))
-        .writeStream.format("text")
-        .option("path", out)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+    q = write_text_stream(stream, tuple_text("k", "v"), out, ckpt, single_writer=True, available_now=True)
     q.awaitTermination(120)
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["(1,a)", "(2,b)"]
-    assert callable(write_text_stream) and callable(run_available)
+    console = write_console(stream, scratch_path(spark, "console"), available_now=True)
+    console.awaitTermination(120)
+    assert console.exception() is None
 
 
 def test_whole_json_document_file_to_rows(spark):

@@ -4,6 +4,7 @@ late rows, watermark guard, previous-window state across batches."""
 import pytest
 from pyspark.sql import functions as F
 
+from floe.functions.time import from_epoch_seconds
 from floe.operators.aggregates import count_rows, max_of, min_of
 from floe.operators.windows import windowed
 from floe.session import scratch_path
@@ -30,7 +31,7 @@ def micro_batches(spark, batches):
     for rows in batches:
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    return with_event_time(stream.withColumn("ts", F.timestamp_seconds("ts")), "ts", from_ntz=False)
+    return with_event_time(stream.withColumn("ts", from_epoch_seconds(F.col("ts"))), "ts", from_ntz=False)
 
 
 def seconds(ts):
@@ -101,7 +102,7 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
 
     def run():
         stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-        timed = with_event_time(stream.withColumn("ts", F.timestamp_seconds("ts")), "ts", from_ntz=False)
+        timed = with_event_time(stream.withColumn("ts", from_epoch_seconds(F.col("ts"))), "ts", from_ntz=False)
         changed = stream_window_change(timed, "sym", "ts", "v", "30 seconds")
         return run_available(spark, changed, "restart", location=location)
 
