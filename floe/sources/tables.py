@@ -27,10 +27,12 @@ def spread(df: DataFrame) -> DataFrame:
     one busy task into many; on a large input the scan already has more
     splits than cores and nothing is added to the plan.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it as is
+        return df
+    return df.repartition(parallelism) if splits < parallelism else df
 
 
 def read_table(
