@@ -70,10 +70,30 @@ _TOPN_SCHEMA = T.StructType(
 )
 
 
+# Slices a window's items are ranked in before the per-window merge.  The
+# ranking input is already one row per distinct item and window (the count
+# aggregate collapses hot items), so one stage is bounded by the item
+# catalogue; slicing pays off only for windows with millions of items.
+TOPN_SLICES = 1
+
+
 def stream_top_items(
-    stream: DataFrame, ts_col: str, item_col: str, size: str, slide: str | None, n: int
+    stream: DataFrame,
+    ts_col: str,
+    item_col: str,
+    size: str,
+    slide: str | None,
+    n: int,
+    slices: int = TOPN_SLICES,
 ) -> DataFrame:
-    """Top ``n`` items per window (count descending, ties by item id)."""
+    """Top ``n`` items per window (count descending, ties by item id).
+
+    With ``slices > 1`` this is two keyed steps, the streaming form of a
+    partial window-group limit: the items of a window are ranked in
+    ``slices`` hash slices (top ``n`` each), then the at most ``slices * n``
+    survivors of each window are merged, so a window with millions of items
+    is spread over ``slices`` tasks.
+    """
     counts = windowed(
         stream, ts_col, size, [count_rows("view_count")], slide=slide, keys=[item_col], strategy="direct"
     ).select(
@@ -81,5 +101,11 @@ def stream_top_items(
         F.col(item_col).cast("bigint").alias("item_id"),
         "view_count",
     )
+    if slices > 1:
+        sliced = counts.withColumn("_slice", F.pmod(F.xxhash64("item_id"), F.lit(slices)))
+        partial = sliced.groupBy("window_end", "_slice").transformWithState(
+            TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None"
+        )
+        counts = partial.select("window_end", "item_id", "view_count")
     ranked = counts.groupBy("window_end").transformWithState(TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None")
     return _from_micros(ranked, ["window_end"])

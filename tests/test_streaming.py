@@ -117,3 +117,20 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     assert first <= 1
     assert [(s, m) for s, m, _ in got] == [(0, 99.0), (30, 15.0), (60, 9.0)]
     assert got[1][2] == pytest.approx((15 - 99) / 99 * 100)
+
+
+def test_sliced_stream_top_n_equals_single_stage(spark):
+    """The two-stage (sliced) ranking gives the same top-N as one stage."""
+    from floe.streaming.operators import stream_top_items
+
+    rows = [(t, "a", "pv", float(t % 7)) for t in range(0, 60)] + [(t, "b", "pv", float(t % 3)) for t in range(0, 60, 2)]
+    batches = [rows[:40], rows[40:], SENTINEL]
+
+    def ranked(slices):
+        timed = micro_batches(spark, batches)
+        items = timed.select("ts", (F.col("v") * 10 + F.when(F.col("sym") == "a", 1).otherwise(2)).cast("long").alias("item"))
+        out = stream_top_items(items, "ts", "item", "20 seconds", "10 seconds", 3, slices=slices)
+        return sorted((seconds(r.window_end), r.rank, r.item_id, r.view_count) for r in run_to_frame(spark, out, f"topn{slices}").collect())
+
+    single = ranked(1)
+    assert single and ranked(4) == single
