@@ -7,9 +7,11 @@ range order through the Hadoop FileSystem API -- a metadata-only step on the
 driver, no data passes through it.  Read with ``maxFilesPerTrigger = 1``,
 every micro-batch is exactly one time range, in order.
 
-A final file holds a sentinel row far in the future: Structured Streaming
-has no end-of-input flush, and the sentinel moves the watermark past every
-real window.  Files go under the session's shared checkpoint folder.
+A sentinel row far in the future rides in the last range: Structured
+Streaming has no end-of-input flush, and the sentinel moves the watermark
+past every real window after the last batch (rows of a batch are checked
+against the watermark of the batch before, so none of its own rows is
+late).  Files go under the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -42,22 +44,20 @@ def replay_files(
     chunks: int | None = None,
     sentinel: dict | None = None,
 ) -> str:
-    """Write ``df`` as event-time-ordered parquet files (plus a sentinel
-    file) into a fresh directory; returns the directory."""
+    """Write ``df`` (plus the ``sentinel`` row, which sorts last) as
+    event-time-ordered parquet files into a fresh directory; returns the
+    directory."""
     out = scratch_path(spark, "replay")
     if chunks is None:
         chunks = max(MIN_CHUNKS, math.ceil(df.count() / ROWS_PER_CHUNK))
+    if sentinel is not None:
+        df = df.unionByName(spark.createDataFrame([sentinel], df.schema))
     (
         df.repartitionByRange(chunks, ts_col)
         .write.option("maxRecordsPerFile", 0)
         .parquet(out)
     )
     fs, ordered = _data_files(spark, out)
-    if sentinel is not None:
-        spark.createDataFrame([sentinel], df.schema).coalesce(1).write.mode("append").parquet(out)
-        _, after = _data_files(spark, out)
-        known = {p.toString() for p in ordered}
-        ordered += [p for p in after if p.toString() not in known]
     base_ms = int(time.time() * 1000) - 1000 * (len(ordered) + 60)
     for i, path in enumerate(ordered):
         fs.setTimes(path, base_ms + 1000 * i, -1)

@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from floe.session import ROCKSDB_PROVIDER, scoped_conf, scratch_path
 
-STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+# RocksDB state (required by transformWithState) with changelog
+# checkpointing: a commit uploads the micro-batch's changes only, and a full
+# snapshot is written in the background every few batches.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _start_conf(spark: SparkSession, state_partitions: int | None) -> dict[str, str]:
