@@ -57,15 +57,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, replay files and stream sinks.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system every executor can reach).  Only when it is unset -- local
-    tests -- a fresh temporary folder is created and registered, so later
+    file system every executor can reach); a cluster session without it is an
+    error, never a machine-local folder.  Only a ``local[...]`` session with
+    nothing set (tests) gets a fresh temporary folder, registered so later
     calls in the same session agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Local runs only: nothing shared was configured.
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir to a shared folder (checkpoints, replay files and stream sinks go there)"
+            )
         root = tempfile.mkdtemp(prefix="floe-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

@@ -87,3 +87,20 @@ def test_top_n_report_line(spark):
     df = spark.createDataFrame([(dt.datetime(2021, 10, 14, 10, 0, 5), 0, 12224, 2413)], "e timestamp_ntz, r int, i long, n long")
     line = df.select(render_top_n(F.col("e"), F.col("r"), F.col("i"), F.col("n")).alias("v")).first().v
     assert line == "2021-10-14 10:00:05 No0: item=12224 views=2413"
+
+
+def test_cluster_session_needs_a_shared_checkpoint_dir():
+    """Without spark.checkpoint.dir a cluster session must not fall back to
+    a machine-local folder."""
+    from types import SimpleNamespace
+
+    from floe.session import checkpoint_root
+
+    ctx = SimpleNamespace(master="spark://cluster:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=ctx)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)
+    shared = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: "hdfs://nn/ckpt/"), sparkContext=ctx
+    )
+    assert checkpoint_root(shared) == "hdfs://nn/ckpt"
