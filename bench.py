@@ -22,6 +22,9 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 WITH_STREAMS = os.environ.get("BENCH_STREAMS", "1") != "0"
+# Untimed warm-ups read the smallest scale factor next to the benchmarked one.
+_SMALLEST = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
+WARMUP_DIR = _SMALLEST if os.path.isdir(_SMALLEST) else SF_DIR
 
 
 def _sf_of(path: str) -> float | str:
@@ -81,14 +84,14 @@ def main() -> None:
         return time.perf_counter() - start
 
     # JVM / codegen warm-up on the smallest input, not timed.
-    REGISTRY["word_count"].build(spark, SF_DIR.replace("sf0.1", "sf0.001")).write.format(
+    REGISTRY["word_count"].build(spark, WARMUP_DIR).write.format(
         "noop"
     ).mode("overwrite").save()
 
     # Streaming warm-up, not timed: the first stateful stream of a session
     # starts the Python state workers and loads the RocksDB library.
     if WITH_STREAMS:
-        REGISTRY["stream_track_change"].build(spark, SF_DIR.replace("sf0.1", "sf0.001")).write.format(
+        REGISTRY["stream_track_change"].build(spark, WARMUP_DIR).write.format(
             "noop"
         ).mode("overwrite").save()
 
