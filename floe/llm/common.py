@@ -69,9 +69,23 @@ def map_groups(
     return dealt.mapInPandas(run, schema)
 
 
-def cells(df: DataFrame, group: list[str], member: str, count: str, chunk: int) -> DataFrame:
-    """Cut groups into chunks of about ``chunk`` members and give every row the
-    cells it takes part in: a cell (``_i``, ``_j``) holds chunks i and j, so
+def usable_vectors(rows: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
+    """``(id long, v array<double>, *more)`` of the vectors that take part: id and vector not null,
+    no null or non-finite component, not all zero.  Of rows that repeat an
+    id, the smallest (``more``, vector) counts."""
+    d = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), *more)
+    d = d.where(
+        F.col("id").isNotNull()
+        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+        & F.exists("v", lambda x: x != 0.0)
+    )
+    one = d.groupBy("id").agg(F.min(F.struct(*more, "v")).alias("r"))
+    return one.select("id", "r.v", *[f"r.{c}" for c in more])
+
+
+def cells(df: DataFrame, member: str, count: str, chunk: int) -> DataFrame:
+    """Cut groups (of ``count`` members, a column) into chunks of about ``chunk`` and
+    give every row the cells of its group that it takes part in: a cell (``_i``, ``_j``) holds chunks i and j, so
     every pair of members meets in exactly one cell with i < j, or in the
     cells of its own chunk (i = j).  No pair of rows is ever emitted; no cell
     is larger than two chunks.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import minhash, mixing
+from floe.llm import ann, embdup, minhash, mixing
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,13 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op10_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@_add("op9_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdup.digest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+@_add("op1_collision_counting_ann")
+def collision_counting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
