@@ -12,9 +12,10 @@ with enough collisions are verified by their exact inner product.  The search
 radius R then grows and windows grow with it (virtual rehashing: only the new
 ends of the windows are counted), until the k-th verified row lies within R.
 A row within R collides on a line with probability p = erf(w / (2 sqrt 2)),
-and the collision threshold lies ``MARGIN`` standard deviations below the
-expected count, so such a row is missed with probability below 3 %.  There is
-no bound on candidates: in the end a window holds the whole array.
+and the collision threshold lies ``MARGIN`` binomial standard deviations below
+the expected count (orthogonal lines vary less than that; on 16,384 clustered
+64-dimensional rows a seventh of them is verified for a recall above 0.99).
+There is no bound on candidates: in the end a window holds the whole array.
 
 The query set (a stated share of the table) meets all rows in cells of one
 query block and one row block; each cell returns its k best per query, and the
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 from floe.llm.common import map_groups, stored, usable_vectors
 
 #: Projections per block, window width in radii, standard deviations of slack.
-LINES, WIDTH, MARGIN = 128, 2.0, 2.0
+LINES, WIDTH, MARGIN = 128, 2.0, 1.25
 #: Queries and rows of a cell.
-QUERY_BLOCK, ROW_BLOCK = 512, 16384
+QUERY_BLOCK, ROW_BLOCK = 1024, 16384
 
 
 def _lines(dim: int, seed: int) -> np.ndarray:
@@ -54,7 +55,7 @@ class Block:
         self.top = float(square.max())
         self.a = _lines(x.shape[1] + 1, seed)
         p = x @ self.a[:-1] + np.sqrt(np.maximum(self.top - square, 0))[:, None] * self.a[-1]
-        self.order = np.argsort(p, axis=0).T.astype(np.int32).copy()
+        self.order = np.argsort(p, axis=0).T.copy()
         self.sorted = np.take_along_axis(p.T.copy(), self.order, axis=1)
         share = math.erf(WIDTH / (2 * math.sqrt(2)))
         n = self.a.shape[1]
@@ -82,12 +83,10 @@ class Block:
             new_hi = np.stack([np.searchsorted(s, at[open_, j] + half, side="right") for j, s in enumerate(self.sorted)], axis=1)
             left = []
             for r, q in enumerate(open_):
+                ends = zip(self.order, new_lo[r].tolist(), lo[q].tolist(), hi[q].tolist(), new_hi[r].tolist())
+                grown = [part for row, a0, a1, b0, b1 in ends for part in (row[a0:a1], row[b0:b1])]
+                count[q] += np.bincount(np.concatenate(grown), minlength=n).astype(count.dtype)
                 c = count[q]
-                for j, (a0, a1, b0, b1) in enumerate(zip(new_lo[r].tolist(), lo[q].tolist(), hi[q].tolist(), new_hi[r].tolist())):
-                    if a0 < a1:
-                        c[self.order[j, a0:a1]] += 1
-                    if b0 < b1:
-                        c[self.order[j, b0:b1]] += 1
                 lo[q], hi[q] = np.minimum(new_lo[r], lo[q]), np.maximum(new_hi[r], hi[q])
                 fresh = np.flatnonzero((c >= self.bar) & ~seen[q])
                 seen[q, fresh] = True

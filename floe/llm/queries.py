@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import ann, embdup, minhash, mixing
+from floe.llm import ann, bpe, embdup, minhash, mixing, tokenfiles
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,13 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op1_collision_counting_ann")
 def collision_counting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+@_add("op5_tree_bpe")
+def tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_add("op2_packed_token_files")
+def packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizers.path("word_bpe_49k.json"))
