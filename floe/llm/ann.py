@@ -9,8 +9,10 @@ Rows are cut into blocks by a hash of the id; a block sorts its rows along
 ``LINES`` single projections.  A query opens a window around its own
 projection in each sorted array.  Rows in the window collide with it; rows
 with enough collisions are verified by their exact inner product.  The search
-radius R then grows and windows grow with it (virtual rehashing: only the new
-ends of the windows are counted), until the k-th verified row lies within R.
+radius R then grows and all windows with it (virtual rehashing: the same
+sorted arrays serve every radius), until the k-th verified row lies within R.
+A window is a range of ranks, so a line's collisions are one vectorised
+comparison over the block's ranks.
 A row within R collides on a line with probability p = erf(w / (2 sqrt 2)),
 and the collision threshold lies ``MARGIN`` binomial standard deviations below
 the expected count (orthogonal lines vary less than that; on 16,384 clustered
@@ -35,7 +37,7 @@ from floe.llm.common import map_groups, stored, usable_vectors
 
 #: Projections per block, window width in radii, standard deviations of slack.
 LINES, WIDTH, MARGIN = 128, 2.0, 1.25
-#: Queries and rows of a cell.
+#: Queries and rows of a cell (ranks are 16-bit).
 QUERY_BLOCK, ROW_BLOCK = 1024, 16384
 
 
@@ -55,8 +57,10 @@ class Block:
         self.top = float(square.max())
         self.a = _lines(x.shape[1] + 1, seed)
         p = x @ self.a[:-1] + np.sqrt(np.maximum(self.top - square, 0))[:, None] * self.a[-1]
-        self.order = np.argsort(p, axis=0).T.copy()
-        self.sorted = np.take_along_axis(p.T.copy(), self.order, axis=1)
+        order = np.argsort(p, axis=0).T
+        self.sorted = np.take_along_axis(p.T.copy(), order, axis=1)
+        self.rank = np.empty(order.shape, np.uint16)
+        np.put_along_axis(self.rank, order, np.arange(len(x), dtype=np.uint16)[None, :], axis=1)
         share = math.erf(WIDTH / (2 * math.sqrt(2)))
         n = self.a.shape[1]
         self.bar = max(1, math.floor(n * share - MARGIN * math.sqrt(n * share * (1 - share))))
@@ -64,47 +68,45 @@ class Block:
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query the row numbers and inner products of verified rows, at
         least the k nearest found; ``own`` is the query's own row or -1."""
-        n, lines = len(self.x), self.a.shape[1]
+        n, scale = len(self.x), math.sqrt(self.top)
         norm = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-        unit = queries / norm[:, None] * math.sqrt(self.top)
+        unit = queries / norm[:, None] * scale
         at = unit @ self.a[:-1]
         some = self.x[:: max(1, n // 64)]
-        middle = np.sqrt(np.maximum(2 * self.top - 2 * np.median(unit @ some.T, axis=1), 1e-300))
-        radius, step = 0.7 * middle, 1.08
-        count = np.zeros((len(queries), n), np.uint8 if lines < 256 else np.uint16)
-        start = np.stack([np.searchsorted(s, at[:, j]) for j, s in enumerate(self.sorted)], axis=1)
-        lo, hi = start, start.copy()
+        radius = 0.75 * np.sqrt(np.maximum(2 * self.top - 2 * np.median(unit @ some.T, axis=1), 1e-300))
         seen = np.zeros((len(queries), n), bool)
         found = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
         open_ = np.arange(len(queries))
-        for level in range(10_000):
+        inside, count, offset = np.empty(n, bool), np.empty(n, np.uint8), np.empty(n, np.uint16)
+        while len(open_):
             half = (radius * WIDTH / 2)[open_]
-            new_lo = np.stack([np.searchsorted(s, at[open_, j] - half) for j, s in enumerate(self.sorted)], axis=1)
-            new_hi = np.stack([np.searchsorted(s, at[open_, j] + half, side="right") for j, s in enumerate(self.sorted)], axis=1)
+            lo = np.stack([np.searchsorted(s, at[open_, j] - half) for j, s in enumerate(self.sorted)], axis=1)
+            hi = np.stack([np.searchsorted(s, at[open_, j] + half, side="right") for j, s in enumerate(self.sorted)], axis=1)
             left = []
             for r, q in enumerate(open_):
-                ends = zip(self.order, new_lo[r].tolist(), lo[q].tolist(), hi[q].tolist(), new_hi[r].tolist())
-                grown = [part for row, a0, a1, b0, b1 in ends for part in (row[a0:a1], row[b0:b1])]
-                count[q] += np.bincount(np.concatenate(grown), minlength=n).astype(count.dtype)
-                c = count[q]
-                lo[q], hi[q] = np.minimum(new_lo[r], lo[q]), np.maximum(new_hi[r], hi[q])
-                fresh = np.flatnonzero((c >= self.bar) & ~seen[q])
+                count[:] = 0
+                for rank, a, b in zip(self.rank, lo[r].astype(np.uint16), (hi[r] - lo[r]).astype(np.uint16)):
+                    np.subtract(rank, a, out=offset)
+                    np.less(offset, b, out=inside)
+                    np.add(count, inside.view(np.uint8), out=count)
+                fresh = np.flatnonzero((count >= self.bar) & ~seen[q])
                 seen[q, fresh] = True
                 fresh = fresh[fresh != own[q]]
                 ids, scores = found[q]
                 ids, scores = np.concatenate([ids, fresh]), np.concatenate([scores, self.x[fresh] @ queries[q]])
                 found[q] = ids, scores
-                if len(ids) >= k:
-                    kth = np.partition(scores, len(scores) - k)[len(scores) - k] / norm[q] * math.sqrt(self.top)
-                    if 2 * self.top - 2 * kth <= radius[q] ** 2:
-                        continue
-                if not seen[q].all():
+                if seen[q].all():
+                    continue
+                if len(ids) < k:
+                    radius[q] *= 1.25
+                    left.append(q)
+                    continue
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k] / norm[q] * scale
+                reach = math.sqrt(max(2 * self.top - 2 * kth, 0))
+                if reach > radius[q]:
+                    radius[q] = reach * (1 + 1e-9)
                     left.append(q)
             open_ = np.array(left, int)
-            if not len(open_):
-                return found
-            radius = radius * step
-            step = step if level < 12 else step * 1.5
         return found
 
 
