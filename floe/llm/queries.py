@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import ann, bpe, embdup, minhash, mixing, tokenfiles
+from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, tokenfiles, toxicity
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,19 @@ def tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op2_packed_token_files")
 def packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_add("op3_perspective_chat", chat.ORACLE_SQL)
+def perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(read_table(spark, sf_dir, "conversations"))
+
+
+@_add("op4_lexicon_toxicity")
+def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return toxicity.digest(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+@_add("op6_boosted_pii")
+def boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
