@@ -15,6 +15,8 @@ from floe.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written first, so that both sides of the join are plain shuffles, which may be split at a hot node.
+    least = stored(least, "cc-least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

@@ -10,15 +10,18 @@
    dropped; the others are confirmed on full shingle sets, texts being joined
    to pairs and dealt by star in bounded parts.
 4. Connected components of the confirmed links.  Buckets that now lie in one
-   component are settled.  The members of the others are compared with each
-   other in cells of at most two chunks: first by signature, and whoever has a
-   likely partner in another component again by full sets.  A cell returns a
-   spanning forest of its links, so no link between different texts is lost
+   component are settled.  In the others, members outside the largest
+   component are compared with all by signature, in cells of at most two
+   chunks.  Everyone's likeliest partner in another component is confirmed in
+   the same way, and components are found again.
+5. In buckets that are still unsettled, everyone with a likely partner in
+   another component is compared by full sets, again in cells.  A cell returns
+   a spanning forest of its links, so no link between different texts is lost
    and no group is expanded into pairs.  Components again.
 
 A pair at similarity 0.8 shares a band with probability 1 - (1 - 0.8**5)**25 =
 0.99995; a pair above it more surely.  A true pair's signature (125 bytes, 0.8
-expected equal) falls below the bar of 0.6 with probability under 1e-6.
+expected equal) falls below the bar of 0.65 with probability 2e-5.
 """
 
 from __future__ import annotations
@@ -31,15 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.llm.common import cells, map_groups, stored
+from floe.llm.common import map_groups, stored
 from floe.llm.components import connected_components
 from floe.llm.shingles import MinHasher, chunks, mix64, shingle_hashes, shingle_sets
 
 ROWS, BANDS = 5, 25
 #: Share of equal signature bytes below which a pair cannot well reach 0.8.
-SIGNATURE_BAR = 0.6
-#: Members of a star, or of a chunk, that one task holds with their texts.
-PART = 256
+SIGNATURE_BAR = 0.65
+#: Members that are held at once with their texts, and with their signatures only.
+PART, CELL = 256, 1024
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -118,54 +121,94 @@ def _forest(links: np.ndarray, group: np.ndarray) -> np.ndarray:
     return links[keep]
 
 
-def _agreeing(g: pd.DataFrame) -> np.ndarray:
-    """Index pairs of a cell (across its two chunks, or within its one) in different components whose signatures agree."""
+def _agreeing(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (minor, any) of a cell that lie in different components and
+    whose signatures agree, and the shares that agree."""
     sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), -1)
-    comp, chunk = g["comp"].to_numpy(), g["_c"].to_numpy()
-    one = chunk[0] == chunk[-1] and (chunk == chunk[0]).all()
-    if one and g["_i"].iloc[0] != g["_j"].iloc[0]:
-        return np.empty((0, 2), int)
-    left = np.arange(len(g)) if one else np.flatnonzero(chunk == g["_i"].iloc[0])
-    right = np.arange(len(g)) if one else np.flatnonzero(chunk != g["_i"].iloc[0])
-    found = []
-    for i in left:
-        cand = right[(comp[right] != comp[i]) & ((right > i) if one else True)]
-        same = (sig[cand] == sig[i]).mean(axis=1) if len(cand) else np.empty(0)
-        found += [(i, j) for j in cand[same >= SIGNATURE_BAR]]
-    return np.array(found, int).reshape(-1, 2)
-
-
-def _rest_links(bucket_rows: DataFrame, comps: DataFrame, sigs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between different components inside buckets (step 4)."""
+    comp, minor = g["comp"].to_numpy(), g["minor"].to_numpy()
+    right = np.flatnonzero(~minor)
+    pairs, shares = [np.empty((0, 2), int)], [np.empty(0)]
+    for i in np.flatnonzero(minor):
+        cand = right[comp[right] != comp[i]]
+        if len(cand):
+            share = (sig[cand] == sig[i]).mean(axis=1)
+            ok = share >= SIGNATURE_BAR
+            pairs.append(np.stack([np.full(ok.sum(), i), cand[ok]], axis=1))
+            shares.append(share[ok])
+    return np.concatenate(pairs), np.concatenate(shares)
+
+
+def _unsettled(bucket_rows: DataFrame, comps: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Members, with signatures, of the cells of buckets that hold more than one component.
+
+    In such a bucket the members outside its largest component (the minors)
+    have to meet everyone.  Chunks of minors cross chunks of all members: a
+    cell (``_i``, ``_j``) holds one of each, so it is bounded, and a bucket
+    whose members are nearly all of one component is passed through once.
+    """
     rows = bucket_rows.join(comps, "rep")
-    spread = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who")
+    parts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"))
+    spread = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", "n").alias("main"), F.count("*").alias("comps"), F.sum("who").alias("who")
     )
     # The same members meet in many bands: one of the equal buckets will do.
-    unsettled = spread.where("lo < hi").groupBy("n", "who").agg(F.min("key").alias("key")).select("key", "n")
-    members = stored(cells(rows.join(unsettled, "key"), ["key"], "rep", "n", PART), "minhash-cells")
-    cell = ["key", "_i", "_j"]
+    spread = spread.where("comps > 1").groupBy("n", "who").agg(F.min_by(F.struct("key", "main", "top"), "key").alias("k"))
+    chunks_of = (F.ceil(F.col("n") / F.lit(CELL)).cast("int"), F.ceil((F.col("n") - F.col("k.top")) / F.lit(CELL)).cast("int"))
+    keys = stored(spread.select("k.key", "k.main", chunks_of[0].alias("all_parts"), chunks_of[1].alias("minor_parts")), "minhash-unsettled")
+    rows = rows.join(keys, "key")
 
-    def likely(g: pd.DataFrame) -> pd.DataFrame | None:
-        hit = np.unique(_agreeing(g))
-        return g.iloc[hit][[*cell, "_c", "rep", "comp"]] if len(hit) else None
+    def chunk(parts: str):
+        return F.pmod(F.xxhash64(F.lit(17), F.col("rep")), F.col(parts).cast("long")).cast("int")
+
+    def every(parts: str):
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    left = rows.where("comp != main").select("key", chunk("minor_parts").alias("_i"), every("all_parts").alias("_j"), "rep", "comp", F.lit(True).alias("minor"))
+    right = rows.select("key", every("minor_parts").alias("_i"), chunk("all_parts").alias("_j"), "rep", "comp", F.lit(False).alias("minor"))
+    return stored(left.union(right).join(sigs, "rep"), "minhash-cells")
+
+
+def _best_pairs(members: DataFrame) -> DataFrame:
+    """For every minor of a cell its likeliest partner in another component: at most one pair a row."""
 
-    schema = "key long, _i int, _j int, _c int, rep long, comp long"
-    some = map_groups(members.join(sigs, "rep"), cell, likely, schema)
+    def best(g: pd.DataFrame) -> pd.DataFrame | None:
+        pairs, share = _agreeing(g)
+        if not len(pairs):
+            return None
+        pairs = pairs[np.lexsort((-share, pairs[:, 0]))]
+        top = pairs[np.diff(pairs[:, 0], prepend=-1) != 0]
+        rep = g["rep"].to_numpy()[top]
+        return pd.DataFrame({"pivot": rep.min(axis=1), "member": rep.max(axis=1)})
+
+    return map_groups(members, ["key", "_i", "_j"], best, "pivot long, member long").distinct()
+
+
+def _rest_links(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links between different components inside the cells, as a spanning forest of each part of a cell."""
+
+    def likely(g: pd.DataFrame) -> pd.DataFrame | None:
+        """Rows with a likely partner, in parts of at most ``PART`` of either side that hold such a pair."""
+        pairs, _ = _agreeing(g)
+        if not len(pairs):
+            return None
+        order = np.cumsum(g["minor"].to_numpy()), np.cumsum(~g["minor"].to_numpy())
+        a, b = order[0][pairs[:, 0]] // PART, order[1][pairs[:, 1]] // PART
+        rows = np.unique(np.concatenate([np.stack([x, a, b], axis=1) for x in pairs.T]), axis=0)
+        out = g.iloc[rows[:, 0]][["key", "_i", "_j", "rep", "comp", "minor", "sig"]]
+        return out.assign(_a=rows[:, 1], _b=rows[:, 2])
+
+    some = map_groups(members, ["key", "_i", "_j"], likely, "key long, _i int, _j int, rep long, comp long, minor boolean, sig binary, _a int, _b int")
     full = some.join(texts.withColumnRenamed("id", "rep"), "rep")
 
     def confirm(g: pd.DataFrame) -> pd.DataFrame | None:
-        run = [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in g["text"]]
-        h, n = shingle_hashes(run, words)
-        g = g.assign(sig=[x.tobytes() for x in MinHasher(ROWS * BANDS).minima(h, n).astype(np.uint8)])
-        pairs = _agreeing(g)
+        pairs, _ = _agreeing(g)
         sets = list(shingle_sets(g["text"].tolist(), words))
         pairs = pairs[[_similar(sets[i], sets[j], percent) for i, j in pairs]] if len(pairs) else pairs
         pairs = _forest(pairs, g["comp"].to_numpy())
         rep = g["rep"].to_numpy()
         return pd.DataFrame({"a": rep[pairs[:, 0]], "b": rep[pairs[:, 1]]}) if len(pairs) else None
 
-    return map_groups(full, cell, confirm, "a long, b long")
+    return map_groups(full, ["key", "_i", "_j", "_a", "_b"], confirm, "a long, b long")
 
 
 def near_duplicates(
@@ -184,17 +227,20 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     table = stored(signatures(texts, words), "minhash-signatures")
     filled = table.where("n_shingles > 0")
-    classes = filled.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
-    member_of = stored(filled.select("id", "f1", "f2").join(classes, ["f1", "f2"]).select("id", "rep").distinct(), "minhash-classes")
-    reps = filled.join(classes.select("f1", "f2", F.col("rep").alias("id")), ["f1", "f2", "id"])
+    classes = filled.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top")
+    copies = stored(classes.select("f1", "f2", "rep"), "minhash-copies")
+    copy_of = stored(filled.select("id", "f1", "f2").join(copies, ["f1", "f2"]), "minhash-copy-of")
+    reps = filled.join(copy_of.where("id != rep"), ["id", "f1", "f2"], "left_anti")
     reps = reps.select(F.col("id").alias("rep"), "bands", "sig")
 
     keys = reps.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top")
-    bucket_rows = stored(keys.join(buckets.select("key", "pivot"), "key"), "minhash-buckets")
+    buckets = stored(buckets.select("key", "pivot"), "minhash-shared")
+    bucket_rows = stored(keys.join(buckets, "key"), "minhash-buckets")
+    wanted = stored(bucket_rows.select("rep").distinct(), "minhash-wanted")
+    sigs = stored(reps.select("rep", "sig").join(wanted, "rep", "left_semi"), "minhash-wanted-signatures")
+    texts = stored(texts.join(wanted.withColumnRenamed("rep", "id"), "id", "left_semi"), "minhash-wanted-texts")
     pairs = bucket_rows.where("pivot != rep").select("pivot", F.col("rep").alias("member")).distinct()
-    wanted = bucket_rows.select("rep").distinct()
-    sigs = stored(reps.select("rep", "sig").join(wanted, "rep", "left_semi"), "minhash-wanted")
     agree = _sig_agreement(F.col("sa"), F.col("sb"))
     likely = (
         pairs.join(sigs.select(F.col("rep").alias("pivot"), F.col("sig").alias("sa")), "pivot")
@@ -202,15 +248,22 @@ def near_duplicates(
         .where(agree >= F.lit(SIGNATURE_BAR))
         .select("pivot", "member")
     )
-    likely = stored(likely.distinct(), "minhash-pairs")
-    links = stored(_star_links(likely, texts, words, percent), "minhash-links")
-    edges = links.union(member_of.select("id", "rep"))
-    first = connected_components(edges, "a", "b")
-    comps = wanted.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("comp")
-    )
-    rest = stored(_rest_links(bucket_rows.select("key", "rep"), comps, sigs, texts, words, percent), "minhash-rest")
-    found = first if rest.isEmpty() else connected_components(edges.union(rest), "a", "b")
+    links = stored(_star_links(stored(likely, "minhash-pairs"), texts, words, percent), "minhash-links")
+    edges = links.union(copy_of.select("id", "rep"))
+
+    def component_table() -> tuple[DataFrame, DataFrame]:
+        found = connected_components(edges, "a", "b")
+        comps = wanted.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        return found, stored(comps.select("rep", F.coalesce("component", "rep").alias("comp")), "minhash-components")
+
+    bucket_rows = bucket_rows.select("key", "rep")
+    found, comps = component_table()
+    best = stored(_best_pairs(_unsettled(bucket_rows, comps, sigs)), "minhash-best")
+    if not best.isEmpty():
+        edges = edges.union(stored(_star_links(best, texts, words, percent), "minhash-best-links"))
+        found, comps = component_table()
+        rest = stored(_rest_links(_unsettled(bucket_rows, comps, sigs), texts, words, percent), "minhash-rest")
+        found = found if rest.isEmpty() else connected_components(edges.union(rest), "a", "b")
     sizes = table.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"))
     return sizes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "n_shingles", F.coalesce("component", "id").alias("component")
