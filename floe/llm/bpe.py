@@ -1,6 +1,7 @@
 """Byte-level BPE encoding by tree concatenation, and decoding.
 
-Texts up to ``LONG`` characters go to the library in batches.  A longer text
+Texts up to ``LONG`` characters are encoded piece by piece by the library, a
+worker remembering pieces (``floe.llm.pieces``).  A longer text
 is cut into leaves that are encoded as rows of their own, by whichever tasks
 are free.  Neighbouring results are then joined pairwise, level by level: a
 window of a few pre-tokens around the join is encoded again and grows until
@@ -28,18 +29,24 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floe.llm.common import map_groups
+from floe.llm.pieces import Memory, library_ids, load_tokenizer, runs, word_ids
 
 #: Characters above which a text is encoded as a tree; characters of a leaf;
 #: characters of an unsplit word above which its halves are merged separately.
-LONG, LEAF, UNSPLIT = 32_768, 8_192, 4_096
+LONG, LEAF, UNSPLIT = 65_536, 16_384, 4_096
 #: Characters that must follow a boundary before it is final.
 LOOK = 4
-#: Characters encoded per library call.
-BATCH = 1 << 20
+#: Tokens decoded per library call.
+BATCH = 1 << 18
+
+#: White space next to a space, or at an end (Python's white space covers the pattern's).
+_ODD = re.compile(r"\s | \s|^\s|\s\Z")
 
 
 @dataclass
@@ -57,11 +64,8 @@ class Codec:
     """A byte-level BPE tokenizer file, without truncation, padding or added special tokens."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = load_tokenizer(path)
+        self.memory = Memory(lambda pieces: word_ids(self.tokenizer, pieces, lower=False))
         spec = json.loads(self.tokenizer.to_str())
         pre = spec["pre_tokenizer"] or {}
         added = spec["added_tokens"]
@@ -77,17 +81,28 @@ class Codec:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts by the library, in calls of about ``BATCH`` characters."""
+        """Ids of whole texts.  Where all spaces stand single between other characters,
+        a text is cut before them: pre-tokens surely end there."""
         out: list[np.ndarray] = []
-        run: list[str] = []
-        size = 0
-        for t in [*texts, None]:
-            if run and (t is None or size + len(t) > BATCH):
-                out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(run, add_special_tokens=False)]
-                run, size = [], 0
-            if t is not None:
-                run.append(t)
-                size += len(t)
+        for run in runs(texts):
+            if not self.splits:
+                out += [np.frombuffer(b, "<u4") for b in library_ids(self.tokenizer, run)]
+                continue
+            ids: list[np.ndarray | None] = [None] * len(run)
+            odd = [i for i, t in enumerate(run) if _ODD.search(t)]
+            for i, b in zip(odd, library_ids(self.tokenizer, [run[i] for i in odd])):
+                ids[i] = np.frombuffer(b, "<u4")
+            even = [i for i, x in enumerate(ids) if x is None]
+            cut = [run[i].partition(" ") for i in even]
+            firsts = [c[0] for c in cut]
+            first = dict(zip(distinct := list(set(firsts)), self.memory.lookup(distinct)))
+            rest = pc.split_pattern(pa.array([c[2] if c[1] else None for c in cut], pa.large_string()), " ")
+            n = pc.fill_null(pc.list_value_length(rest), 0).to_numpy()
+            empty, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+            words = pc.binary_join_element_wise(empty, rest.flatten(), space)
+            for i, f, b in zip(even, firsts, self.memory.ids(words, n)):
+                ids[i] = np.concatenate([np.frombuffer(first[f], "<u4"), b])
+            out += ids
         return out
 
     def decode_many(self, ids: list[np.ndarray]) -> list[str]:

@@ -31,18 +31,19 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from floe.llm.common import stored
+from floe.llm.pieces import Memory, library_ids, load_tokenizer, runs, word_ids
 from floe.session import scratch_path
 
 MAGIC = b"FLOETOK1"
 FOOTER = struct.Struct("<6Q8s")
 BLOCK_IDS = 32_768
-#: Words a worker remembers before it starts anew.
-WORDS = 300_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -156,39 +157,27 @@ def _words_stand_alone(spec: dict) -> bool:
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library.  Where words stand alone, each
-    distinct word goes to the library once and is remembered."""
+    """Ids of whole texts by the tokenizers library; where words stand alone, each distinct word is encoded about once."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.by_word = _words_stand_alone(json.loads(self.tokenizer.to_str()))
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer = load_tokenizer(path)
+        spec = json.loads(self.tokenizer.to_str())
+        self.by_word = _words_stand_alone(spec)
+        steps = (spec["normalizer"] or {}).get("normalizers", [])
+        self.lower = any(s["type"] == "Lowercase" for s in steps)
+        self.memory = Memory(lambda words: word_ids(self.tokenizer, words, self.lower))
 
     def vocabulary(self) -> int:
         return max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if not self.by_word:
-            for b in (x for a in range(0, len(texts), 64) for x in self._library(texts[a : a + 64])):
-                yield np.frombuffer(b, "<u4")
-            return
-        for t in texts:
+        for run in runs(texts):
+            if not self.by_word:
+                yield from (np.frombuffer(b, "<u4") for b in library_ids(self.tokenizer, run))
+                continue
             # Cut at ASCII white space only; other white space stays inside a word for the library.
-            words = t.encode("utf-8", "replace").split()
-            if len(self.known) > WORDS:
-                self.known = {}
-            known = self.known
-            new = [w for w in set(words) if w not in known]
-            if new:
-                known.update(zip(new, self._library([w.decode() for w in new])))
-            yield np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+            words = pc.ascii_split_whitespace(pa.array(run, pa.large_string()))
+            yield from self.memory.ids(words.flatten(), pc.list_value_length(words).to_numpy())
 
 
 @lru_cache(maxsize=2)
