@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, tokenfiles, toxicity
+from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, suffix, tokenfiles, toxicity
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op6_boosted_pii")
 def boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@_add("op8_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
