@@ -234,14 +234,15 @@ def _ids(b: bytes) -> np.ndarray:
     return np.frombuffer(b, "<u4")
 
 
-def _short(path: str):
+def _short(path: str, decoded: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
         for pdf in batches:
             for a in range(0, len(pdf), 512):
                 p = pdf.iloc[a : a + 512]
                 ids = c.encode_many([t or "" for t in p["text"]])
-                yield pd.DataFrame({"doc_id": p["doc_id"], "ids": [x.astype("<u4").tobytes() for x in ids]})
+                out = pd.DataFrame({"doc_id": p["doc_id"], "ids": [x.astype("<u4").tobytes() for x in ids]})
+                yield out.assign(decoded=c.decode_many(ids)) if decoded else out
 
     return run
 
@@ -281,7 +282,7 @@ def _encode_leaves(path: str):
     return run
 
 
-def _join_leaves(path: str):
+def _join_leaves(path: str, decoded: bool):
     def join(g: pd.DataFrame) -> pd.DataFrame:
         c = codec(path)
         out = []
@@ -294,13 +295,15 @@ def _join_leaves(path: str):
             ]
             out.append(parts[0].ids if len(parts) == 1 else c.tree(text, parts).ids)
         ids = np.concatenate(out)
-        return pd.DataFrame({"doc_id": g["doc_id"].iloc[:1].tolist(), "ids": [ids.astype("<u4").tobytes()]})
+        done = pd.DataFrame({"doc_id": g["doc_id"].iloc[:1].tolist(), "ids": [ids.astype("<u4").tobytes()]})
+        return done.assign(decoded=c.decode_many([ids])) if decoded else done
 
     return join
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG, decoded: bool = False) -> DataFrame:
     """``(doc_id, ids)`` for every row; ids are little-endian unsigned 32-bit integers in a binary.
+    With ``decoded``, also the library's text of the ids, by the same worker.
 
     Equal to the library's encoding of the whole text without added special
     tokens; null texts count as empty and give no ids.  Repeated rows, null
@@ -309,13 +312,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     # Ids travel as text: pandas has no long with nulls.
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    short = rows.where(F.length("text") <= long).mapInPandas(_short(path), "doc_id string, ids binary")
+    out = "doc_id string, ids binary" + (", decoded string" if decoded else "")
+    short = rows.where(F.length("text") <= long).mapInPandas(_short(path, decoded), out)
     wide = rows.where(F.length("text") > long).withColumn("row", F.monotonically_increasing_id())
     leaf = "row long, doc_id string, segment long, start long, leaf string"
     leaves = wide.mapInPandas(_cut(path), leaf).repartition("row", "segment", "start")
     done = leaves.mapInPandas(_encode_leaves(path), f"{leaf}, ids binary, cuts binary, first binary")
-    both = short.union(map_groups(done, ["row"], _join_leaves(path), "doc_id string, ids binary"))
-    return both.select(F.col("doc_id").cast("long").alias("doc_id"), "ids")
+    both = short.union(map_groups(done, ["row"], _join_leaves(path, decoded), out))
+    return both.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -339,8 +343,7 @@ def token_count(ids: str = "ids"):
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """The contract's columns."""
-    both = decode(encode(docs, path), path)
-    return both.select(
+    return encode(docs, path, decoded=True).select(
         "doc_id",
         token_count().alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),

@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Characters of text cut and encoded at once.
-RUN = 1 << 23
+RUN = 1 << 22
 
 
 def load_tokenizer(path: str):
