@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit integers) and the SHA-256 of their decoding."""
     path = public_tokenizers.path(TOKENIZER)
-    tokens = bpe.decode(bpe.encode(docs, path), path)
+    tokens = bpe.encode(docs, path, decoded=True)
     return tokens.select("doc_id", bpe.token_count().alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
