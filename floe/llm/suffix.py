@@ -11,7 +11,8 @@ document with a smaller id.
    in two documents go on.
 3. Their texts (contexts) are grouped by content with their smallest document,
    counted partially, so a passage in a third of all documents is one row.
-4. Contexts are dealt by minimizer.  In each part, a difference-cover sort
+4. The only context of a minimizer needs no sorting.  Other contexts are
+   dealt by minimizer.  In each part, a difference-cover sort
    (modulo 3) orders the suffixes: sampled triples are sorted and named, names
    are sorted again until they cover ``LENGTH`` bytes, the other suffixes
    are merged in.  Adjacent suffixes with equal prefixes form a string's class,
@@ -34,7 +35,7 @@ from floe.llm.shingles import _BASE, _BYTE, _INV, _POW, mix64
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text scanned at once, and bytes of contexts sorted at once.
-SCAN, PART = 1 << 22, 1 << 20
+SCAN, PART = 1 << 20, 1 << 20
 
 
 def difference_cover_order(s: np.ndarray, cover: int) -> np.ndarray:
@@ -170,24 +171,33 @@ def removals(texts: DataFrame) -> DataFrame:
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, text, rs in zip(pdf["doc"], pdf["text"], pdf["runs"]):
-                b = text.encode()
-                yield pd.DataFrame(
-                    {"h": [r["h"] for r in rs], "context": [b[r["start"] : r["start"] + r["n"] + LENGTH - 1] for r in rs], "doc": doc, "start": [r["start"] for r in rs]}
-                )
+            for i in range(0, len(pdf), 500):
+                p = pdf.iloc[i : i + 500]
+                rows = [
+                    (r["h"], b[r["start"] : r["start"] + r["n"] + LENGTH - 1], doc, r["start"])
+                    for doc, b, rs in zip(p["doc"], (t.encode() for t in p["text"]), p["runs"])
+                    for r in rs
+                ]
+                yield pd.DataFrame(rows, columns=["h", "context", "doc", "start"])
 
     found = stored(texts.join(lists, "doc").mapInPandas(contexts, "h long, context binary, doc long, start long"), "suffix-contexts")
     distinct = found.groupBy("h", "context").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    distinct = stored(distinct.withColumn("size", F.octet_length("context")), "suffix-distinct")
-    total = distinct.agg(F.sum("size")).first()[0] or 0
+    distinct = stored(distinct.select("h", "context", "least"), "suffix-distinct")
+    per_h = stored(distinct.groupBy("h").agg(F.count("*").alias("ways")), "suffix-ways")
+    several = distinct.join(per_h.where("ways > 1").select("h"), "h")
+    # The only context of its minimizer: all its strings have its documents and no others.
+    one = distinct.join(per_h.where("ways = 1").select("h"), "h")
+    one = one.select("h", "context", F.array_repeat("least", F.octet_length("context") - (LENGTH - 1)).alias("strings"))
+    total = several.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     parts = max(1, -(-4 * total // PART))
 
     def order(g: pd.DataFrame) -> pd.DataFrame:
         least = least_documents(g["context"].tolist(), g["least"].to_numpy())
         return pd.DataFrame({"h": g["h"], "context": g["context"], "strings": least})
 
-    dealt = distinct.withColumn("part", F.pmod("h", F.lit(parts)))
-    known = stored(map_groups(dealt, ["part"], order, "h long, context binary, strings array<long>"), "suffix-least")
+    dealt = several.withColumn("part", F.pmod("h", F.lit(parts)))
+    sorted_ = map_groups(dealt, ["part"], order, "h long, context binary, strings array<long>")
+    known = stored(sorted_.union(one), "suffix-least")
 
     both = found.join(known, ["h", "context"]).where(F.exists("strings", lambda x: x < F.col("doc")))
     starts = F.transform("strings", lambda x, i: F.when(x < F.col("doc"), F.col("start") + i))
