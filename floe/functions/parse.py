@@ -10,6 +10,7 @@ Two modes:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,8 +38,10 @@ def parse_delimited(
 ) -> Parsed:
     """Split ``line_col`` on ``sep`` (a regex) and type the fields by position.
 
-    A line is valid when it has exactly ``len(schema)`` fields and every field
-    casts to its type.  ``quarantine`` keeps the raw line and a ``reason``
+    In ``permissive`` mode a line is valid when it has exactly ``len(schema)``
+    fields and every field casts to its type; ``strict`` mode takes the first
+    ``len(schema)`` fields of any line and fails the job on a field that does
+    not cast.  ``quarantine`` keeps the raw line and a ``reason``
     (``wrong_arity`` or ``bad_value``).
     """
     arr = _fields(F.col(line_col), sep)
@@ -75,13 +78,37 @@ def parse_delimited(
     return Parsed(valid, bad)
 
 
+def parse_lines(
+    lines: DataFrame, parser: Callable[[Column], list[Column]], arity: int, line_col: str = "value", sep: str = ",", keep: tuple[str, ...] = ()
+) -> Parsed:
+    """Lines through one of the line parsers below, each line parsed once.
+
+    A line with another number of fields, or with a field that does not parse,
+    goes to the quarantine with its reason, like in ``parse_delimited``.
+    """
+    columns = lines.select(*parser(F.col(line_col))).columns
+    staged = lines.select(
+        *keep, F.col(line_col), F.struct(F.size(_fields(F.col(line_col), sep)).alias("_n"), *parser(F.col(line_col))).alias("_r")
+    )
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col("_r").getField(c).isNotNull()
+    reason = F.when(F.col("_r").getField("_n") != arity, F.lit("wrong_arity")).when(~whole, F.lit("bad_value"))
+    record = F.struct(*[F.col("_r").getField(c).alias(c) for c in columns])
+    out = F.struct(F.when(reason.isNull(), record).alias("ok"), reason.alias("reason"))
+    once = staged.select(*keep, F.col(line_col), F.explode(F.array(out)).alias("_o"))
+    valid = once.where("_o.reason IS NULL").select(*keep, *[F.col("_o.ok").getField(c).alias(c) for c in columns])
+    bad = once.where("_o.reason IS NOT NULL").select(*keep, F.col(line_col), F.col("_o.reason").alias("reason"))
+    return Parsed(valid, bad)
+
+
 def parse_ticks(line: Column) -> list[Column]:
     """``"sym,millis,price"`` -> symbol, event time, price."""
     arr = _fields(line, ",")
     return [
-        arr.getItem(0).alias("symbol"),
-        F.timestamp_millis(arr.getItem(1).cast("bigint")).alias("ts"),
-        arr.getItem(2).cast("double").alias("price"),
+        F.get(arr, 0).alias("symbol"),
+        F.timestamp_millis(F.get(arr, 1).try_cast("bigint")).alias("ts"),
+        F.get(arr, 2).try_cast("double").alias("price"),
     ]
 
 
@@ -89,9 +116,9 @@ def parse_prices(line: Column) -> list[Column]:
     """``"millis,price"`` -> event time, price as text, price."""
     arr = _fields(line, ",")
     return [
-        F.timestamp_millis(arr.getItem(0).cast("bigint")).alias("ts"),
-        arr.getItem(1).alias("price_text"),
-        arr.getItem(1).cast("double").alias("price"),
+        F.timestamp_millis(F.get(arr, 0).try_cast("bigint")).alias("ts"),
+        F.get(arr, 1).alias("price_text"),
+        F.get(arr, 1).try_cast("double").alias("price"),
     ]
 
 
@@ -99,8 +126,8 @@ def parse_numbers(line: Column) -> list[Column]:
     """``"millis,int"`` -> event time, number."""
     arr = _fields(line, ",")
     return [
-        F.timestamp_millis(arr.getItem(0).cast("bigint")).alias("ts"),
-        arr.getItem(1).cast("int").alias("number"),
+        F.timestamp_millis(F.get(arr, 0).try_cast("bigint")).alias("ts"),
+        F.get(arr, 1).try_cast("int").alias("number"),
     ]
 
 
@@ -109,9 +136,9 @@ def parse_sales(line: Column) -> list[Column]:
     and a count of 1 is appended for the later sum."""
     arr = _fields(line, ",")
     return [
-        arr.getItem(1).alias("month"),
-        arr.getItem(2).alias("category"),
-        arr.getItem(3).alias("product"),
-        arr.getItem(4).cast("int").alias("profit"),
+        F.get(arr, 1).alias("month"),
+        F.get(arr, 2).alias("category"),
+        F.get(arr, 3).alias("product"),
+        F.get(arr, 4).try_cast("int").alias("profit"),
         F.lit(1).alias("n"),
     ]

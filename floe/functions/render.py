@@ -34,8 +34,8 @@ def render_change_report(
 
 
 def render_alert(pct: Column, prev_max: Column, max_price: Column, max_ts: Column) -> Column:
-    """``Large Change Detected of <pct>% (<prev> - <cur>) at  <time>`` (two
-    spaces before the time, as in the original alert)."""
+    """``Large Change Detected of <pct>% (<prev> - <cur>) at  <millis>`` (two
+    spaces before the time, which is the TIMESTAMP's epoch milliseconds)."""
     return F.concat(
         F.lit(ALERT_PREFIX),
         two_decimals(pct),
@@ -44,7 +44,7 @@ def render_alert(pct: Column, prev_max: Column, max_price: Column, max_ts: Colum
         F.lit(" - "),
         max_price.cast("string"),
         F.lit(") at  "),
-        F.coalesce(F.date_format(max_ts, REPORT_TIME_FORMAT), F.lit("")),
+        F.coalesce(F.unix_millis(max_ts).cast("string"), F.lit("")),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,7 @@ from floe.functions.durations import to_micros
 from floe.functions.time import ntz_micros
 from floe.operators.aggregates import Mergeable, count_rows, max_of, min_of, min_struct
 from floe.operators.sequence import with_previous_row
-from floe.operators.sizing import SINGLE_TASK_BYTES, fits_one_task
 from floe.operators.windows import windowed
-from floe.session import scratch_path
 
 
 def pct_change(current: Column, previous: Column) -> Column:
@@ -41,8 +39,6 @@ def exceeds_threshold(current: Column, previous: Column, threshold: float) -> Co
 
 # Windows per (key, bucket) in the previous-window lookup.
 WINDOWS_PER_BUCKET = 1024
-# Up to this estimated size the window table is lagged per key directly.
-SINGLE_TASK_LAG_BYTES = SINGLE_TASK_BYTES
 
 
 def with_previous_window(
@@ -51,38 +47,26 @@ def with_previous_window(
     value_col: str,
     prev_col: str = "prev_max",
     slide: str | None = None,
+    windows_per_bucket: int = WINDOWS_PER_BUCKET,
 ) -> DataFrame:
     """Adds the previous non-empty window's ``value_col`` per key.
 
     A key has one row per window -- few for many keys, but a single
-    instrument over years has millions (5 min / 15 s windows: 2.1M per year),
-    and a plain ``lag`` over ``PARTITION BY key`` sorts them all in one task.
-    When the window table's estimated size exceeds ``SINGLE_TASK_LAG_BYTES``
-    the lag runs per (key, run of ``WINDOWS_PER_BUCKET`` window starts)
-    instead; the first window of each run takes the last window of the key's
+    instrument over years has millions (5 min / 15 s windows: 2.1M per year).
+    The lag therefore runs per (key, run of ``windows_per_bucket`` window
+    starts); the first window of each run takes the last window of the key's
     previous non-empty run (``with_previous_row``).  ``slide`` is the distance
-    between window starts (the size for tumbling windows).
+    between window starts (the size for tumbling windows).  The form is the
+    same at every size, and null keys are a key of their own.
     """
-    if windows.isStreaming or fits_one_task(windows, SINGLE_TASK_LAG_BYTES):
-        order = Window.partitionBy(*keys).orderBy("window_start")
-        return windows.withColumn(prev_col, F.lag(value_col).over(order))
-
-    # Both branches of the bucketed lag read the window table: write it once
-    # to the shared checkpoint folder (one job, survives executor loss)
-    # instead of scanning and aggregating the input twice.
-    spark = windows.sparkSession
-    path = scratch_path(spark, "windows")
-    windows.write.parquet(path)
-    windows = spark.read.parquet(path)
-    start = F.col("window_start")
+    start, end = F.col("window_start"), F.col("window_end")
     is_ntz = isinstance(windows.schema["window_start"].dataType, T.TimestampNTZType)
     start_us = ntz_micros(start) if is_ntz else F.unix_micros(start)
     if slide is not None:
         step = F.lit(float(to_micros(slide)))
     else:
-        end = F.col("window_end")
         step = ((ntz_micros(end) if is_ntz else F.unix_micros(end)) - start_us).cast("double")
-    bucket = F.floor(start_us / (step * F.lit(float(WINDOWS_PER_BUCKET))))
+    bucket = F.floor(start_us / (step * F.lit(float(windows_per_bucket))))
     out = with_previous_row(windows, list(keys), ["window_start"], [value_col], bucket, prefix="_prev_")
     return out.withColumnRenamed("_prev_" + value_col, prev_col)
 

@@ -1,46 +1,28 @@
-"""Pack rows into ``{"response": [...]}`` envelope documents per key.
+"""Pack rows into ``{"response": [...]}`` envelope documents per key and page.
 
-An envelope holds at most about ``page_size`` elements: a key with more rows
-is split over several pages, so a hot key never becomes one giant document
-(or one giant group in one task).  Small inputs (size-checked) take the
-single-page plan: one envelope per key, elements in field order.
+The page is an explicit expression over the row (for example a line number
+divided by the page size), so a hot key becomes many documents and many
+groups, and the result is the same at every input size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions.json import pack_envelope
-from floe.operators.sizing import SINGLE_TASK_BYTES, fits_one_task
 
-PAGE_SIZE = 1000
-# Up to this estimated input size every key fits one envelope task.
-SINGLE_PAGE_BYTES = SINGLE_TASK_BYTES
 
-
-def pack_envelopes(
-    df: DataFrame, key: str, fields: Sequence[str], page_size: int = PAGE_SIZE
-) -> DataFrame:
+def pack_envelopes(df: DataFrame, key: str, fields: Sequence[str], page: Column) -> DataFrame:
     """``key, page, value``: envelope text per key and page; elements are
-    sorted by their fields within a page."""
+    sorted by their fields within a page.  Null keys are a key of their own."""
     element = F.struct(*fields)
-    if fits_one_task(df, SINGLE_PAGE_BYTES):
-        grouped = df.groupBy(key).agg(F.sort_array(F.collect_list(element)).alias("_items"))
-        return grouped.select(key, F.lit(0).alias("page"), pack_envelope(F.col("_items")).alias("value"))
-
-    # Pages per key from a (partially aggregated) count; rows are dealt over
-    # their key's pages by their scan position, so pages are even even when
-    # a hot key's rows are identical.  AQE's skew join splits a hot key's
-    # rows when they meet their count.
-    pages = df.groupBy(key).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(float(page_size))).cast("long").alias("_pages")
-    )
-    dealt = df.withColumn("_seq", F.monotonically_increasing_id()).join(pages, key)
-    page = F.pmod(F.xxhash64("_seq"), F.col("_pages")).cast("int")
-    grouped = dealt.groupBy(key, page.alias("page")).agg(
-        F.sort_array(F.collect_list(element)).alias("_items")
-    )
+    grouped = df.groupBy(key, page.alias("page")).agg(F.sort_array(F.collect_list(element)).alias("_items"))
     return grouped.select(key, "page", pack_envelope(F.col("_items")).alias("value"))
+
+
+def first_pages(packed: DataFrame, key: str) -> DataFrame:
+    """The envelope of each key's lowest page (partially aggregated, one document per key and task)."""
+    return packed.groupBy(key).agg(F.min("page").alias("page"), F.min_by("value", "page").alias("value"))

@@ -85,10 +85,12 @@ def gd_step_with_params(
     """One round with theta read from a parameter frame.
 
     The parameters enter as scalar subqueries: evaluated once, shipped to
-    every task as a constant, and an error if the frame has more than one
-    row (no cross join, no driver round trip).
+    every task as a constant, and an error if the frame has no row or more
+    than one (no cross join, no driver round trip).
     """
     theta = params.select(F.struct("theta0", "theta1")).scalar()
+    missing = F.raise_error(F.lit("the parameter frame has no row")).cast("struct<theta0:double,theta1:double>")
+    theta = F.when(theta.isNotNull(), theta).otherwise(missing)
     return gd_step(points, theta.getField("theta0"), theta.getField("theta1"), rate, x, y)
 
 
@@ -110,6 +112,20 @@ def synthetic_points(rows: DataFrame, seed: int = 0, slope: float = 2.0, noise:
     )
 
 
+def normal_draw(u1: Column, u2: Column) -> Column:
+    """A normal draw from two uniforms of [0, 1)."""
+    return F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - u1)) * F.cos(F.lit(2.0) * F.pi() * u2)
+
+
+def generated_points(rows: DataFrame, gx: Column, ge: Column, slope: float = 2.0, noise: float = 0.01) -> DataFrame:
+    """One point per input row from two normal draws: ``x = gx``, ``y = slope * gx + noise * ge``, two decimals each."""
+    raw = rows.select(gx.alias("_x"), ge.alias("_e"))
+    return raw.select(
+        F.round("_x", 2).alias("x"),
+        F.round(F.lit(slope) * F.col("_x") + F.lit(noise) * F.col("_e"), 2).alias("y"),
+    )
+
+
 def point_line(x: Column, y: Column) -> Column:
     """``x y`` with two decimals, space separated."""
     return F.concat_ws(" ", F.format_string("%.2f", x), F.format_string("%.2f", y))

@@ -16,9 +16,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from floe.functions.durations import to_micros
+from floe.functions.time import ntz_micros
+
 _BUCKET = "_bucket"
 
 
+def time_bucket(df: DataFrame, ts_col: str, width: str = "1 hour") -> Column:
+    """Bucket number of a timestamp: pure arithmetic, so building the plan runs no job.
+
+    A (key, bucket) group holds what one key delivers in ``width``, however
+    long the history is; pick the width by the busiest key's rate.
+    """
+    is_ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    micros = ntz_micros(F.col(ts_col)) if is_ntz else F.unix_micros(F.col(ts_col))
+    return F.floor(micros / F.lit(float(to_micros(width))))
+
+
 def with_previous_row(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,25 +44,30 @@ def with_previous_row(
     """Adds ``prev_<c>`` for every column in ``carry``: its value on the
     previous row of the same key ordered by ``order_cols``.
 
-    ``bucket`` must be non-decreasing along ``order_cols`` within a key (for
-    example ``date_trunc('hour', ts)``).  ``order_cols`` should make the order
-    total (append a unique id) so the previous row is well defined.
+    ``bucket`` must be non-decreasing along ``order_cols`` within a key.
+    ``order_cols`` should make the order total (append a unique id) so the
+    previous row is well defined.  Null keys form a key of their own and null
+    buckets come first, as in a plain ``lag``.
     """
     keyed = df.withColumn(_BUCKET, bucket)
     inner_order = Window.partitionBy(*keys, _BUCKET).orderBy(*order_cols)
 
     # Last row of each (key, bucket): a mergeable max over a struct, partially
-    # aggregated before its shuffle.  Then the previous bucket's last row.
-    last = keyed.groupBy(*keys, _BUCKET).agg(
-        F.max(F.struct(*[F.col(c) for c in [*order_cols, *carry]])).alias("_last")
-    )
+    # aggregated before its shuffle.  The struct holds all columns, so that an
+    # aggregated input has the same exchange in both branches and runs once.
+    first = [*order_cols, *[c for c in carry if c not in order_cols]]
+    whole = [*first, *[c for c in df.columns if c not in first]]
+    last = keyed.groupBy(*keys, _BUCKET).agg(F.max(F.struct(*[F.col(c) for c in whole])).alias("_last"))
     edges = last.select(
-        *keys,
-        _BUCKET,
+        *[F.col(k).alias("_k_" + k) for k in keys],
+        F.col(_BUCKET).alias("_k" + _BUCKET),
         F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BUCKET)).alias("_edge"),
     )
 
-    joined = keyed.join(edges, [*keys, _BUCKET], "left")
+    on = F.col(_BUCKET).eqNullSafe(F.col("_k" + _BUCKET))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col("_k_" + k))
+    joined = keyed.join(edges, on, "left")
     rn = F.row_number().over(inner_order)
     prev = {
         c: F.when(rn == 1, F.col("_edge").getField(c)).otherwise(F.lag(c).over(inner_order))
@@ -58,34 +77,3 @@ def with_previous_row(
         *[F.col(c) for c in df.columns],
         *[expr.alias(prefix + c) for c, expr in prev.items()],
     )
-
-
-MAX_QUANTILE_BUCKETS = 16384
-
-
-def quantile_buckets(
-    df: DataFrame, ts_col: str, buckets: int, relative_error: float | None = None
-) -> tuple[DataFrame, str]:
-    """Adds a bucket column cut at approximate quantiles of event time.
-
-    Buckets follow the data's density: a burst holding a third of the rows
-    gets about a third of the buckets, so no (key, bucket) group is much
-    larger than ``rows / buckets`` unless single timestamps repeat that often.
-    One sketch pass (bounded size) on the driver, then a JVM-side binary
-    search per row.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    from floe.functions.time import ntz_micros
-
-    is_ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
-    micros = ntz_micros(F.col(ts_col)) if is_ntz else F.unix_micros(F.col(ts_col))
-    with_t = df.withColumn("_t", micros.cast("double"))
-    buckets = max(1, min(buckets, MAX_QUANTILE_BUCKETS))
-    # the sketch must resolve cut points 1/buckets apart
-    eps = relative_error if relative_error is not None else min(0.001, 0.25 / buckets)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(with_t.approxQuantile("_t", probs, eps)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    out = Bucketizer(splits=splits, inputCol="_t", outputCol="_qbucket", handleInvalid="keep").transform(with_t)
-    return out.drop("_t"), "_qbucket"

@@ -6,14 +6,10 @@ than the threshold (strictly, either direction) yields one order row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floe.operators.sequence import quantile_buckets, with_previous_row
-from floe.operators.sizing import SINGLE_TASK_BYTES, fits_one_task
-
-# Up to this estimated input size the previous price is a plain per-key lag.
-SINGLE_TASK_LAG_BYTES = SINGLE_TASK_BYTES
+from floe.operators.sequence import time_bucket, with_previous_row
 
 # Fixed values of the order a jump produces: parent order id, action,
 # quantity, limit price, take-profit price, stop-loss price.
@@ -23,7 +19,6 @@ ORDER_QUANTITY = 1
 ORDER_LIMIT_PRICE = 1.0
 ORDER_TAKE_PROFIT = 1.0
 ORDER_STOP_LOSS = 0.5
-ACTIONS = ("Buy", "Sell")
 
 
 def price_jumps(
@@ -33,37 +28,23 @@ def price_jumps(
     id_col: str,
     price_col: str,
     threshold: float = 3.0,
-    bucket: Column | None = None,
+    bucket: Column | str = "1 hour",
 ) -> DataFrame:
     """``key, id, diff, direction`` and the order columns, one row per jump.
 
-    Small inputs (estimated below ``SINGLE_TASK_LAG_BYTES``) use a plain
-    per-key lag.  Otherwise the order is cut into buckets for the skew-safe
-    previous row: ``bucket`` if given, else quantiles of event time (see
-    ``quantile_buckets``).
+    The previous price is looked up per (key, bucket) with a hand-over
+    between buckets, so a hot key is cut by time: ``bucket`` is a duration, or
+    a column that does not decrease with time.
 
     ``diff = newest - previous``; ``direction`` is ``up`` / ``down``.  Both
     directions emit a Buy order, as the rule is written.
     """
     rows = ticks.select(key, ts_col, id_col, price_col)
-    if bucket is None and fits_one_task(rows, SINGLE_TASK_LAG_BYTES):
-        # small input: no key can overwhelm a task, a plain ordered lag is cheapest
-        order = Window.partitionBy(key).orderBy(ts_col, id_col)
-        with_prev = rows.withColumn("prev_" + price_col, F.lag(price_col).over(order))
-    else:
-        with_prev = _bucketed_previous(rows, key, ts_col, id_col, price_col, bucket)
+    bucket = time_bucket(rows, ts_col, bucket) if isinstance(bucket, str) else bucket
+    with_prev = with_previous_row(rows, [key], [ts_col, id_col], [price_col], bucket)
     return _orders_from_jumps(with_prev, key, id_col, price_col, threshold)
 
 
-def _bucketed_previous(rows, key, ts_col, id_col, price_col, bucket):
-    if bucket is None:
-        # density-following time buckets: hot keys and bursts split evenly
-        parallelism = rows.sparkSession.sparkContext.defaultParallelism
-        rows, name = quantile_buckets(rows, ts_col, max(64, 8 * parallelism))
-        bucket = F.col(name)
-    return with_previous_row(rows, [key], [ts_col, id_col], [price_col], bucket)
-
-
 def _orders_from_jumps(with_prev, key, id_col, price_col, threshold):
     diff = F.col(price_col) - F.col("prev_" + price_col)
     return (

@@ -11,8 +11,9 @@ from floe.operators.regression import (
     descend,
     gd_step,
     gd_step_with_params,
+    generated_points,
+    normal_draw,
     round_theta,
-    synthetic_points,
 )
 from floe.plans.registry import query
 from floe.sources.tables import read_table
@@ -72,14 +73,6 @@ def q_gd_lineitem(spark, sf_dir):
     return round_theta(descend(lineitem_points(spark, sf_dir), DEFAULT_ITERATIONS))
 
 
-@query("gd_synthetic")
-def q_gd_synthetic(spark, sf_dir):
-    """One generated point per lineitem row (seeded), fitted by descent;
-    random draws depend on partitioning, so this is checked by rows only."""
-    rows = read_table(spark, sf_dir, "lineitem", ["l_orderkey"])
-    return round_theta(descend(synthetic_points(rows, seed=42), DEFAULT_ITERATIONS))
-
-
 # ---- indicator ratio (circle estimate) ---------------------------------------
 # Points come from the row's integer keys through a multiplicative hash, so
 # the estimate is deterministic and reproducible in SQL.
@@ -112,9 +105,65 @@ def q_ratio_pi(spark, sf_dir):
     return indicator_ratio(pts, inside_unit_circle(F.col("x"), F.col("y")), scale=4.0)
 
 
-@query("ratio_seeded")
+
+
+# A second estimate from other key combinations (other seeds of the hash).
+_SEEDED_X = (("l_orderkey", 15485863), ("l_suppkey", 32452843), ("l_linenumber", 49979687))
+_SEEDED_Y = (("l_partkey", 67867967), ("l_orderkey", 86028121), ("l_linenumber", 104395301))
+
+
+@query(
+    "ratio_seeded",
+    oracle=f"""
+    SELECT CAST(sum(CASE WHEN x * x + y * y < 1 THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+           count(*) AS n,
+           4.0::DOUBLE * CAST(sum(CASE WHEN x * x + y * y < 1 THEN 1 ELSE 0 END) AS BIGINT) / count(*) AS ratio
+    FROM (SELECT {_hash_sql(_SEEDED_X, _X_MOD)} AS x, {_hash_sql(_SEEDED_Y, _Y_MOD)} AS y FROM lineitem)
+    """,
+)
 def q_ratio_seeded(spark, sf_dir):
-    """Monte-Carlo form: one seeded random point per lineitem row (rows only)."""
-    rows = read_table(spark, sf_dir, "lineitem", ["l_orderkey"])
-    pts = rows.select(F.rand(7).alias("x"), F.rand(11).alias("y"))
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    x = unit_hash(*[(F.col(c), m) for c, m in _SEEDED_X], modulus=_X_MOD)
+    y = unit_hash(*[(F.col(c), m) for c, m in _SEEDED_Y], modulus=_Y_MOD)
+    pts = li.select(x.alias("x"), y.alias("y"))
     return indicator_ratio(pts, inside_unit_circle(F.col("x"), F.col("y")), scale=4.0)
+
+
+# ---- generated points -----------------------------------------------------------
+# Normal draws from two hashed uniforms of the row's keys, rounded to two
+# decimals, so the points are the same in every engine.
+
+_U1, _U2 = _hash_sql(_X_TERMS, _X_MOD), _hash_sql(_Y_TERMS, _Y_MOD)
+_V1, _V2 = _hash_sql(_SEEDED_X, _X_MOD), _hash_sql(_SEEDED_Y, _Y_MOD)
+_GENERATED_SQL = f"""
+    (SELECT round(gx, 2) AS x, round(2.0::DOUBLE * gx + 0.01::DOUBLE * ge, 2) AS y
+     FROM (SELECT sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_U1})) * cos(2.0::DOUBLE * pi() * {_U2}) AS gx,
+                  sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_V1})) * cos(2.0::DOUBLE * pi() * {_V2}) AS ge FROM lineitem))
+"""
+
+
+@query(
+    "gd_synthetic",
+    oracle=f"""
+    WITH RECURSIVE m AS (
+        SELECT avg(x) AS mx, avg(y) AS my, avg(x * x) AS mxx, avg(x * y) AS mxy FROM {_GENERATED_SQL}),
+    it(i, t0, t1) AS (
+        SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+        UNION ALL
+        SELECT i + 1,
+               t0 - {LEARNING_RATE}::DOUBLE * (t0 + t1 * mx - my),
+               t1 - {LEARNING_RATE}::DOUBLE * (t0 * mx + t1 * mxx - mxy)
+        FROM it JOIN m ON true WHERE i < {DEFAULT_ITERATIONS})
+    SELECT round(t0, 6) AS theta0, round(t1, 6) AS theta1 FROM it WHERE i = {DEFAULT_ITERATIONS}
+    """,
+)
+def q_gd_synthetic(spark, sf_dir):
+    """One generated point per lineitem row, fitted by descent."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+    def uniform(terms, mod):
+        return unit_hash(*[(F.col(c), m) for c, m in terms], modulus=mod)
+
+    gx = normal_draw(uniform(_X_TERMS, _X_MOD), uniform(_Y_TERMS, _Y_MOD))
+    ge = normal_draw(uniform(_SEEDED_X, _X_MOD), uniform(_SEEDED_Y, _Y_MOD))
+    return round_theta(descend(generated_points(li, gx, ge), DEFAULT_ITERATIONS))

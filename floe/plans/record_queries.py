@@ -6,14 +6,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from floe.functions import json as J
-from floe.functions.parse import parse_delimited
-from floe.functions.time import ntz_seconds
+from floe.functions.parse import parse_delimited, parse_lines, parse_numbers, parse_prices, parse_sales, parse_ticks
+from floe.functions.time import instant_to_ntz, ntz_micros, ntz_seconds
 from floe.functions.urls import fill_template
-from floe.operators.envelopes import pack_envelopes
+from floe.operators.envelopes import first_pages, pack_envelopes
+from floe.operators.aggregates import sum_of
 from floe.operators.profit import keyed_profit
+from floe.operators.windows import windowed
 from floe.plans.registry import query
 from floe.schemas import CLICKS, MATCH, MATCH_TREE, fill_defaults
+from floe.session import scratch_path
+from floe.sources.delimited import read_points
 from floe.sources.tables import read_table
+from floe.sources.text import read_lines
+from floe.streaming.sinks import tuple_text, write_delimited, write_text
 
 # ---- per-month profit ---------------------------------------------------------
 
@@ -133,9 +139,135 @@ def q_parse_quarantine(spark, sf_dir):
     return parse_delimited(_click_lines(spark, sf_dir), CLICKS, keep=("event_id",)).quarantine
 
 
+# ---- line parsers ---------------------------------------------------------------
+# events and orders rendered as the text lines of the tick, price, number and
+# sales jobs; every 100th line has a broken number, every 100th (offset 50)
+# loses its last field.
+
+
+def _lines(df, key: str, fields: list, number: int):
+    """``key, value``: fields joined by commas, field ``number`` spoilt or the last one lost on some lines."""
+    r = F.pmod(F.col(key), F.lit(100))
+    spoilt = [F.lit("n/a") if i == number else f for i, f in enumerate(fields)]
+    line = F.when(r == 0, F.concat_ws(",", *spoilt)).when(r == 50, F.concat_ws(",", *fields[:-1]))
+    return df.select(key, line.otherwise(F.concat_ws(",", *fields)).alias("value"))
+
+
+def _event_lines(spark, sf_dir, *fields):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    ms = F.floor(ntz_micros(F.col("ts")) / 1000).cast("string")
+    named = {"ms": ms, "user": F.col("user_id").cast("string"), "price": F.col("value").cast("string"), "k": F.get_json_object("props", "$.k")}
+    return _lines(ev, "event_id", [named[f] for f in fields], fields.index("ms"))
+
+
+def _number_rows(spark, sf_dir):
+    return parse_lines(_event_lines(spark, sf_dir, "ms", "k"), parse_numbers, 2, keep=("event_id",))
+
+
+_MS_SQL = "make_timestamp((epoch_us(ts) // 1000) * 1000)"
+
+
+@query(
+    "parse_ticks",
+    oracle=f"SELECT event_id, CAST(user_id AS VARCHAR) AS symbol, {_MS_SQL} AS ts, value AS price FROM events WHERE event_id % 100 NOT IN (0, 50)",
+)
+def q_parse_ticks(spark, sf_dir):
+    rows = parse_lines(_event_lines(spark, sf_dir, "user", "ms", "price"), parse_ticks, 3, keep=("event_id",)).valid
+    return rows.withColumn("ts", instant_to_ntz(F.col("ts")))
+
+
+@query(
+    "parse_prices",
+    oracle=f"SELECT event_id, {_MS_SQL} AS ts, value AS price FROM events WHERE event_id % 100 NOT IN (0, 50)",
+)
+def q_parse_prices(spark, sf_dir):
+    rows = parse_lines(_event_lines(spark, sf_dir, "ms", "price"), parse_prices, 2, keep=("event_id",)).valid
+    return rows.select("event_id", instant_to_ntz(F.col("ts")).alias("ts"), "price")
+
+
+@query(
+    "parse_numbers",
+    oracle=f"SELECT event_id, {_MS_SQL} AS ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS number FROM events WHERE event_id % 100 NOT IN (0, 50)",
+)
+def q_parse_numbers(spark, sf_dir):
+    rows = _number_rows(spark, sf_dir).valid
+    return rows.withColumn("ts", instant_to_ntz(F.col("ts")))
+
+
+@query(
+    "parse_numbers_quarantine",
+    oracle="""
+    SELECT event_id, CASE WHEN event_id % 100 = 50 THEN 'wrong_arity' ELSE 'bad_value' END AS reason
+    FROM events WHERE event_id % 100 IN (0, 50)
+    """,
+)
+def q_parse_numbers_quarantine(spark, sf_dir):
+    return _number_rows(spark, sf_dir).quarantine.select("event_id", "reason")
+
+
+@query(
+    "sum_from_lines",
+    oracle=f"""
+    SELECT time_bucket(INTERVAL '4 hours', ts, TIMESTAMP '1970-01-01') AS window_start,
+           CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total
+    FROM events WHERE event_id % 100 NOT IN (0, 50) GROUP BY 1
+    """,
+)
+def q_sum_from_lines(spark, sf_dir):
+    """A window sum over parsed text lines."""
+    rows = _number_rows(spark, sf_dir).valid
+    sums = windowed(rows, "ts", "4 hours", [sum_of(F.col("number").cast("bigint"), "total")])
+    return sums.select(instant_to_ntz(F.col("window_start")).alias("window_start"), "total")
+
+
+@query(
+    "parse_sales",
+    oracle="""
+    SELECT o_orderkey, monthname(o_orderdate) AS month, o_orderpriority AS category, o_orderstatus AS product,
+           CAST(floor(o_totalprice) AS INTEGER) AS profit, 1 AS n
+    FROM orders WHERE o_orderkey % 100 NOT IN (0, 50)
+    """,
+)
+def q_parse_sales(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice"])
+    day, month = F.date_format("o_orderdate", "dd-MM-yyyy"), F.date_format("o_orderdate", "MMMM")
+    profit = F.floor("o_totalprice").cast("string")
+    lines = _lines(orders, "o_orderkey", [day, month, F.col("o_orderpriority"), F.col("o_orderstatus"), profit], 4)
+    return parse_lines(lines, parse_sales, 5, keep=("o_orderkey",)).valid
+
+
+# ---- text files, written and read back ----------------------------------------
+
+
+@query(
+    "tuple_text_files",
+    oracle="""
+    SELECT '(' || c_custkey || ',' || coalesce(nullif(c_mktsegment, 'BUILDING'), 'null') || ',' || c_nationkey || ')' AS value FROM customer
+    """,
+)
+def q_tuple_text_files(spark, sf_dir):
+    """Records as text lines through the text sink and the line source, some with a null field."""
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
+    cust = cust.withColumn("c_mktsegment", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
+    path = scratch_path(spark, "tuple-text")
+    write_text(cust, tuple_text("c_custkey", "c_mktsegment", "c_nationkey"), path)
+    return read_lines(spark, path)
+
+
+@query("delimited_files", oracle="SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem")
+def q_delimited_files(spark, sf_dir):
+    """Points as space-separated lines through the delimited sink and the typed file source."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    path = scratch_path(spark, "points")
+    write_delimited(li.select((F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 100000).alias("y")), path)
+    return read_points(spark, path)
+
+
 # ---- JSON envelopes -------------------------------------------------------------
-# lineitem packed per order as {"response":[...]} pages (one page per order
-# at this size: an order has a handful of lines), elements sorted by fields.
+# lineitem packed per order as {"response":[...]} pages of four line numbers,
+# elements sorted by fields within a page.
+
+_LINES_PER_PAGE = 4
 
 _LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
@@ -155,26 +287,28 @@ def _line_struct_type():
 
 def _envelopes(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *_LINE_FIELDS])
-    return pack_envelopes(li, "l_orderkey", _LINE_FIELDS)
+    page = F.floor((F.col("l_linenumber") - 1) / _LINES_PER_PAGE).cast("int")
+    return pack_envelopes(li, "l_orderkey", _LINE_FIELDS, page)
 
 
-_ORDERED_LINES_SQL = """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
-           row_number() OVER (PARTITION BY l_orderkey
-                              ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS pos
-    FROM lineitem
+_ORDERED_LINES_SQL = f"""
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, page
+                                 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS pos,
+           min(page) OVER (PARTITION BY l_orderkey) AS first_page
+    FROM (SELECT *, CAST(floor((l_linenumber - 1) / {_LINES_PER_PAGE}) AS INTEGER) AS page FROM lineitem)
 """
 
 
 @query(
     "envelope_explode",
     headline=True,
-    oracle=f"SELECT l_orderkey, CAST(pos AS INTEGER) AS pos, l_linenumber AS line, l_partkey AS partkey, l_quantity AS quantity FROM ({_ORDERED_LINES_SQL})",
+    oracle=f"SELECT l_orderkey, page, CAST(pos AS INTEGER) AS pos, l_linenumber AS line, l_partkey AS partkey, l_quantity AS quantity FROM ({_ORDERED_LINES_SQL})",
 )
 def q_envelope_explode(spark, sf_dir):
-    rows = J.explode_envelope(_envelopes(spark, sf_dir), "value", _line_struct_type(), keep=["l_orderkey"])
+    rows = J.explode_envelope(_envelopes(spark, sf_dir), "value", _line_struct_type(), keep=["l_orderkey", "page"])
     return rows.select(
         "l_orderkey",
+        "page",
         "pos",
         F.col("item.l_linenumber").alias("line"),
         F.col("item.l_partkey").alias("partkey"),
@@ -184,10 +318,10 @@ def q_envelope_explode(spark, sf_dir):
 
 @query(
     "envelope_first",
-    oracle=f"SELECT l_orderkey, l_linenumber AS line, l_partkey AS partkey, l_quantity AS quantity FROM ({_ORDERED_LINES_SQL}) WHERE pos = 0",
+    oracle=f"SELECT l_orderkey, l_linenumber AS line, l_partkey AS partkey, l_quantity AS quantity FROM ({_ORDERED_LINES_SQL}) WHERE page = first_page AND pos = 0",
 )
 def q_envelope_first(spark, sf_dir):
-    rows = J.first_of_envelope(_envelopes(spark, sf_dir), "value", _line_struct_type(), keep=["l_orderkey"])
+    rows = J.first_of_envelope(first_pages(_envelopes(spark, sf_dir), "l_orderkey"), "value", _line_struct_type(), keep=["l_orderkey"])
     return rows.select(
         "l_orderkey",
         F.col("item.l_linenumber").alias("line"),

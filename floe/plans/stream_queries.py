@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from floe.functions.time import instant_to_ntz
 from floe.operators.aggregates import count_rows, sum_of
-from floe.operators.windows import processing_time_window, windowed
+from floe.operators.windows import windowed
 from floe.plans import window_queries as W
 from floe.plans.registry import REGISTRY, query
 from floe.sources.tables import read_table
 from floe.streaming.event_time import guarded_filter, with_event_time
 from floe.streaming.operators import stream_top_items, stream_window_change
-from floe.streaming.replay import replay_files
+from floe.streaming.replay import FILES_PER_BATCH, replay_files
 from floe.streaming.runner import run_batches, run_to_frame
 
 REPLAY_CHUNKS = None  # scale with the table (see floe.streaming.replay)
@@ -30,14 +30,7 @@ PROC_WINDOW = "5 seconds"
 
 def _replayed(spark, df, sentinel):
     src = replay_files(spark, df, "ts", REPLAY_CHUNKS, sentinel)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-
-
-def _state_partitions(spark):
-    """Bounded replays: one state partition per core (the session default
-    may be sized for large shuffles, and each stateful Python task has a fixed
-    start-up cost per micro-batch)."""
-    return spark.sparkContext.defaultParallelism
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(src)
 
 
 def _ntz(*cols):
@@ -50,7 +43,7 @@ def q_stream_track_change(spark, sf_dir):
     sentinel = {"user_id": -1, "ts": FAR_FUTURE, "value": 0.0, "event_id": -1}
     timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
     changed = stream_window_change(timed, "user_id", "ts", "value", W.TRACK_SIZE, id_col="event_id")
-    out = run_to_frame(spark, changed, "track_change", state_partitions=_state_partitions(spark))
+    out = run_to_frame(spark, changed, "track_change")
     return out.where(F.col("user_id") != -1).select(
         "user_id",
         *_ntz("window_start", "window_end", "first_ts", "last_ts"),
@@ -69,7 +62,7 @@ def q_stream_large_delta(spark, sf_dir):
     alerts = stream_window_change(
         timed, "event_type", "ts", "value", size, slide=slide, id_col="event_id", threshold=W.DELTA_THRESHOLD
     )
-    out = run_to_frame(spark, alerts, "large_delta", state_partitions=_state_partitions(spark))
+    out = run_to_frame(spark, alerts, "large_delta")
     return out.select(
         "event_type", *_ntz("window_start"), "max_price", *_ntz("max_ts"), "prev_max", "pct_change"
     )
@@ -87,7 +80,7 @@ def q_stream_topn(spark, sf_dir):
     views = _guarded_views(spark, sf_dir).select("ts", W.item_of(F.col("props")).alias("item_id"))
     size, slide = W.ITEM_WINDOW
     ranked = stream_top_items(views, "ts", "item_id", size, slide, W.TOP_N)
-    out = run_to_frame(spark, ranked, "topn", state_partitions=_state_partitions(spark))
+    out = run_to_frame(spark, ranked, "topn")
     return out.select(*_ntz("window_end"), "item_id", "view_count", "rank")
 
 
@@ -96,31 +89,42 @@ def q_stream_guarded_filter(spark, sf_dir):
     views = _guarded_views(spark, sf_dir)
     size, slide = W.SLIDING_COUNT
     counts = windowed(views, "ts", size, [count_rows("view_count")], slide=slide, strategy="direct")
-    out = run_to_frame(spark, counts, "guarded_filter", state_partitions=_state_partitions(spark))
+    out = run_to_frame(spark, counts, "guarded_filter")
     return out.select(*_ntz("window_start", "window_end"), "view_count")
 
 
-@query("stream_proc_time")
+@query(
+    "stream_proc_time",
+    oracle="""
+    SELECT monthname(o_orderdate) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS profit,
+           CAST(count(*) AS BIGINT) AS n
+    FROM orders GROUP BY 1
+    """,
+)
 def q_stream_proc_time(spark, sf_dir):
-    """Per-month profit in 5 s processing-time windows over replayed orders
-    (update mode through foreachBatch).  Wall-clock windows are not
-    reproducible, so this is checked by rows only."""
+    """Per-month profit in 5 s processing-time windows over replayed orders.
+
+    Update mode emits a window's running totals in every batch; the last batch
+    holds its final ones.  Wall-clock windows differ between runs, but their
+    sums per month do not.  The watermark on the arrival time lets closed
+    windows leave the state."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"])
     replay_src = orders.withColumnRenamed("o_orderdate", "ts")
     sentinel = {"o_orderkey": -1, "o_totalprice": 0.0, "ts": FAR_FUTURE}
     stream = _replayed(spark, replay_src, sentinel).where(F.col("o_orderkey") >= 0)
-    per_window = stream.groupBy(
-        processing_time_window(PROC_WINDOW).alias("w"),
+    arrived = stream.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds")
+    per_window = arrived.groupBy(
+        F.window("arrived", PROC_WINDOW).alias("w"),
         F.date_format("ts", "MMMM").alias("month"),
     ).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("profit"),
         F.count(F.lit(1)).alias("n"),
     )
-    sink = run_batches(
-        spark, per_window, "proc_time", output_mode="update", state_partitions=_state_partitions(spark)
-    )
-    return spark.read.parquet(sink).select(
-        F.col("w.start").alias("window_start"), "month", "profit", "n"
+    sink = run_batches(spark, per_window, "proc_time", output_mode="update")
+    updates = spark.read.parquet(sink)
+    final = updates.groupBy("w", "month").agg(F.max_by(F.struct("profit", "n"), "batch").alias("t"))
+    return final.groupBy("month").agg(
+        F.sum("t.profit").cast("decimal(38,2)").alias("profit"), F.sum("t.n").cast("bigint").alias("n")
     )
 
 
@@ -132,5 +136,5 @@ def q_stream_sliding_sum(spark, sf_dir):
     nums = timed.select("ts", F.get_json_object("props", "$.k").cast("int").alias("k"))
     size, slide = W.SLIDING_SUM
     sums = windowed(nums, "ts", size, [sum_of(F.col("k").cast("bigint"), "total")], slide=slide)
-    out = run_to_frame(spark, sums, "sliding_sum", state_partitions=_state_partitions(spark))
+    out = run_to_frame(spark, sums, "sliding_sum")
     return out.select(*_ntz("window_start", "window_end"), "total")

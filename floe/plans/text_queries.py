@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from floe.functions.urls import HOST_PATTERN, PATH_PATTERN
 from floe.operators.counts import uri_count, word_count
 from floe.plans.registry import query
 from floe.sources.tables import read_table
@@ -46,8 +47,8 @@ def q_union_all_word_count(spark, sf_dir):
 @query(
     "uri_count",
     headline=True,
-    oracle="""
-    SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1) AS host, count(*) AS n
+    oracle=f"""
+    SELECT regexp_extract(url, '{HOST_PATTERN}', 1) AS host, count(*) AS n
     FROM pages GROUP BY 1
     """,
 )
@@ -57,8 +58,8 @@ def q_uri_count(spark, sf_dir):
 
 @query(
     "uri_path_count",
-    oracle="""
-    SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, count(*) AS n
+    oracle=f"""
+    SELECT regexp_extract(url, '{PATH_PATTERN}', 1) AS path, count(*) AS n
     FROM pages GROUP BY 1
     """,
 )

@@ -119,6 +119,19 @@ def q_item_window_count(spark, sf_dir):
     return _item_counts(spark, sf_dir)
 
 
+@query(
+    "item_tumbling_count",
+    oracle=f"""
+    SELECT make_timestamp({_tumble(ITEM_WINDOW[0])} + {to_micros(ITEM_WINDOW[0])}) AS window_end,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, count(*) AS view_count
+    FROM events WHERE event_type = 'view' GROUP BY 1, 2
+    """,
+)
+def q_item_tumbling_count(spark, sf_dir):
+    views = events(spark, sf_dir, "ts", "event_type", "props").where(F.col("event_type") == VIEW)
+    return item_window_counts(views.select("ts", item_of(F.col("props")).alias("item")), "ts", "item", ITEM_WINDOW[0], None)
+
+
 @query(
     "topn_items",
     headline=True,

@@ -19,7 +19,6 @@ def kafka_options(
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
     }
     if group_id:
         opts["kafka.group.id"] = group_id

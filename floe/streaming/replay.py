@@ -1,11 +1,13 @@
 """Replay a bounded table as an ordered stream of files.
 
 One parallel job range-partitions the table by event time and writes one
-file per range (partition ``i`` holds the ``i``-th range).  The file source
+file per range (partition ``i`` holds the ``i``-th range), ``FILES_PER_BATCH``
+of them per micro-batch.  The file source
 takes files oldest first, so the files' modification times are then set in
 range order through the Hadoop FileSystem API -- a metadata-only step on the
-driver, no data passes through it.  Read with ``maxFilesPerTrigger = 1``,
-every micro-batch is exactly one time range, in order.
+driver, no data passes through it -- and checked.  Read with
+``maxFilesPerTrigger = FILES_PER_BATCH``, every micro-batch is one time range,
+in order, scanned by several tasks.
 
 A sentinel row far in the future rides in the last range: Structured
 Streaming has no end-of-input flush, and the sentinel moves the watermark
@@ -23,9 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from floe.session import scratch_path
 
-# Rows per replayed file (one micro-batch each) when no chunk count is given.
+# Rows per micro-batch when no chunk count is given.
 ROWS_PER_CHUNK = 2_000_000
 MIN_CHUNKS = 3
+# Files of a micro-batch: a batch is one time range, read by as many tasks.
+FILES_PER_BATCH = 8
 
 
 def _data_files(spark: SparkSession, directory: str) -> list:
@@ -53,7 +57,7 @@ def replay_files(
     if sentinel is not None:
         df = df.unionByName(spark.createDataFrame([sentinel], df.schema))
     (
-        df.repartitionByRange(chunks, ts_col)
+        df.repartitionByRange(chunks * FILES_PER_BATCH, ts_col)
         .write.option("maxRecordsPerFile", 0)
         .parquet(out)
     )
@@ -61,4 +65,13 @@ def replay_files(
     base_ms = int(time.time() * 1000) - 1000 * (len(ordered) + 60)
     for i, path in enumerate(ordered):
         fs.setTimes(path, base_ms + 1000 * i, -1)
+    check_order(fs, ordered)
     return out
+
+
+def check_order(fs, ordered: list) -> None:
+    """The file source takes files by modification time; a store that does not
+    keep the times set above would replay out of order, so that is an error."""
+    times = [fs.getFileStatus(p).getModificationTime() for p in ordered]
+    if any(a >= b for a, b in zip(times, times[1:])):
+        raise RuntimeError("the file system did not keep the replay files' modification times")

@@ -35,12 +35,13 @@ def run_available(
     stream: DataFrame,
     name: str,
     output_mode: str = "append",
-    timeout_s: int = 600,
+    timeout_s: float | None = None,
     state_partitions: int | None = None,
     location: str | None = None,
 ) -> str:
     """Run ``stream`` to the end of its input; returns the sink directory.
 
+    Waits until the stream has ended, or at most ``timeout_s`` if given.
     ``location`` reuses a sink + checkpoint from an earlier run: the query
     resumes after the last committed micro-batch (exactly-once sink)."""
     base = location or scratch_path(spark, f"stream-{name}")
@@ -56,7 +57,7 @@ def run_available(
             .start()
         )
         try:
-            if not query.awaitTermination(timeout_s):
+            if query.awaitTermination(timeout_s) is False:
                 raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
         finally:
             if query.isActive:
@@ -79,7 +80,7 @@ def run_batches(
     stream: DataFrame,
     name: str,
     output_mode: str = "update",
-    timeout_s: int = 600,
+    timeout_s: float | None = None,
     state_partitions: int | None = None,
 ) -> str:
     """Modes a file sink cannot take (update / complete): each micro-batch is
@@ -100,7 +101,7 @@ def run_batches(
             .start()
         )
         try:
-            if not query.awaitTermination(timeout_s):
+            if query.awaitTermination(timeout_s) is False:
                 raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
         finally:
             if query.isActive:

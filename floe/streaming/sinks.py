@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def tuple_text(*cols: str) -> Column:
-    """A tuple record's text form: ``(a,b,c)``."""
-    return F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in cols]), F.lit(")"))
+    """A tuple record's text form: ``(a,b,c)``, a null field as ``null``."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols]
+    return F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
 
 
 def as_text(df: DataFrame, encoded: Column, single_writer: bool = False) -> DataFrame:

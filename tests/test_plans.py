@@ -6,17 +6,17 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from floe.plans import REGISTRY
 from tests.conftest import SF001
 
-BATCH = sorted(n for n in contract.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in REGISTRY if not n.startswith("stream_"))
 TABLE_WIDTH = {
     "events": 6, "documents": 5, "orders": 6, "lineitem": 11, "customer": 5, "pages": 3, "benchmark": 2,
 }
 
 
 def executed_plan(spark, name):
-    df = contract.queries()[name](spark, SF001)
+    df = REGISTRY[name].build(spark, SF001)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
