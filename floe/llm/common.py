@@ -8,11 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.session import scratch_path
+from floe.session import scoped_conf, scratch_path
 
 #: ASCII white space of the word rule: space and \t \n \v \f \r (``bytes.split()`` cuts at exactly these).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+#: Rows a Python worker is handed at once: texts are long, and workers stay while later stages run.
+BATCH_ROWS = "1000"
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
@@ -20,9 +23,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage with files that outlive any executor, so a table that is
     read several times is computed once.
     """
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_groups(
