@@ -42,6 +42,8 @@ from floe.llm.pieces import Memory, library_ids, load_tokenizer, runs, word_ids
 LONG, LEAF, UNSPLIT = 65_536, 16_384, 4_096
 #: Characters that must follow a boundary before it is final.
 LOOK = 4
+#: Distinct pieces a worker remembers.
+REMEMBERED = 200_000
 #: Tokens decoded per library call.
 BATCH = 1 << 18
 
@@ -65,7 +67,7 @@ class Codec:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.memory = Memory(lambda pieces: word_ids(self.tokenizer, pieces, lower=False))
+        self.memory = Memory(lambda pieces: word_ids(self.tokenizer, pieces, lower=False), REMEMBERED)
         spec = json.loads(self.tokenizer.to_str())
         pre = spec["pre_tokenizer"] or {}
         added = spec["added_tokens"]

@@ -15,8 +15,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces a worker remembers before it starts anew.
-REMEMBERED = 500_000
 #: Characters of text cut and encoded at once.
 RUN = 1 << 22
 
@@ -47,16 +45,17 @@ def runs(texts: list[str]) -> Iterator[list[str]]:
 
 
 class Memory:
-    """``encode`` gives the ids of new pieces, as bytes of little-endian unsigned 32-bit integers."""
+    """``encode`` gives the ids of new pieces, as bytes of little-endian unsigned
+    32-bit integers; beyond ``limit`` distinct pieces the memory starts anew."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int):
+        self.encode, self.limit, self.known = encode, limit, {}
 
     def lookup(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
         known = self.known
         new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) + len(new) > self.limit:
             known = self.known = {}
             new = pieces
         known.update(zip(new, self.encode(new)))

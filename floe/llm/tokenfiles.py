@@ -44,6 +44,8 @@ from floe.session import scratch_path
 MAGIC = b"FLOETOK1"
 FOOTER = struct.Struct("<6Q8s")
 BLOCK_IDS = 32_768
+#: Distinct words a worker remembers.
+REMEMBERED = 1_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -165,7 +167,7 @@ class WordEncoder:
         self.by_word = _words_stand_alone(spec)
         steps = (spec["normalizer"] or {}).get("normalizers", [])
         self.lower = any(s["type"] == "Lowercase" for s in steps)
-        self.memory = Memory(lambda words: word_ids(self.tokenizer, words, self.lower))
+        self.memory = Memory(lambda words: word_ids(self.tokenizer, words, self.lower), REMEMBERED)
 
     def vocabulary(self) -> int:
         return max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
