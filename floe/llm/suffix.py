@@ -7,16 +7,19 @@ document with a smaller id.
    are covered whole.
 2. Every start of a string belongs to the string's minimizer, the least hashed
    ``GRAM``-byte piece in it; equal strings have equal minimizers.  Runs of
-   starts with one minimizer are narrow rows; only runs whose minimizer occurs
-   in two documents go on.
-3. Their texts (contexts) are grouped by content with their smallest document,
-   counted partially, so a passage in a third of all documents is one row.
-4. The only context of a minimizer needs no sorting.  Other contexts are
-   dealt by minimizer.  In each part, a difference-cover sort
+   starts with one minimizer are narrow rows, dealt once by minimizer; only
+   runs whose minimizer occurs in two documents go on.  Rows that a task already
+   sees in two documents are dealt evenly, with one of them for the others.
+3. Their texts (contexts) are grouped by content with their smallest and largest
+   document, counted partially, so a passage in a third of all documents is one row.
+4. Two contexts with a common string agree in ``SIDE`` bytes before or after the
+   minimizer, and only contexts that agree so with another one are sorted, dealt
+   by these bytes.  In each part, a difference-cover sort
    (modulo 3) orders the suffixes: sampled triples are sorted and named, names
    are sorted again until they cover ``LENGTH`` bytes, the other suffixes
    are merged in.  Adjacent suffixes with equal prefixes form a string's class,
-   and its smallest document is known.
+   and its smallest document is known.  Groups of more than ``PART`` bytes go by
+   exact string instead, so that no task holds one whole.
 5. Every occurrence compares its classes' smallest documents with its own id.
 """
 
@@ -24,18 +27,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from floe.llm.common import map_groups, stored
-from floe.llm.shingles import _BASE, _BYTE, _INV, _POW, mix64
+from floe.llm.shingles import mix64
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text scanned at once, and bytes of contexts sorted at once.
-SCAN, PART = 1 << 20, 1 << 20
+#: Strings with one minimizer have LENGTH - GRAM bytes beside it, so half of them on one side.
+SIDE = (LENGTH - GRAM) // 2
+#: Bytes of text scanned at once (the arrays stay in the processor's cache), and bytes of contexts sorted at once.
+SCAN, PART = 1 << 17, 1 << 20
+#: Rows of runs compared at once.
+ROWS = 1 << 17
+_WORD = np.random.default_rng(50).integers(1, 2**63, 3, dtype=np.uint64) | np.uint64(1)
 
 
 def difference_cover_order(s: np.ndarray, cover: int) -> np.ndarray:
@@ -47,7 +57,9 @@ def difference_cover_order(s: np.ndarray, cover: int) -> np.ndarray:
     i = np.arange(n + 1)
     sample = i[i % 3 != 0]
     top = int(t.max()) + 1
-    pair = _dense(t[:-2] * top + t[1:-1])  # pairs of symbols as one
+    pair = t[:-2] * top + t[1:-1]  # pairs of symbols as one
+    if top * top * (top + n) >= 1 << 62:
+        pair = _dense(pair)
     names = _dense(pair[sample] * top + t[sample + 2])
     rank = np.zeros(n + 4, np.int64)
     if cover <= 3 or names.max(initial=0) + 1 == len(sample):
@@ -105,15 +117,25 @@ def least_documents(contexts: list[bytes], docs: np.ndarray, length: int = LENGT
     return np.split(out, np.cumsum(counts)[:-1])
 
 
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """64-bit hash of every ``GRAM``-byte piece, from its three 8-byte words (the last two overlap)."""
+    n = len(data) - GRAM + 1
+    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,)).copy()
+    h = words[:n] * _WORD[0]
+    h += words[8 : 8 + n] * _WORD[1]
+    h += words[GRAM - 8 :] * _WORD[2]
+    return mix64(h)
+
+
 def _runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, minimizer hash, first start, number of starts) of the runs of starts with one minimizer."""
+    """(text, minimizer hash, first start, number of starts, place of the minimizer after the first start)
+    of the runs of starts with one minimizer; the last two are below 32."""
     sizes = np.array([len(t) for t in texts])
     begin = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
     if len(data) < LENGTH:
-        return (np.empty(0, np.int64),) * 4
-    value = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * _POW.upto(len(data)), dtype=np.uint64)])
-    h = mix64((value[GRAM:] - value[:-GRAM]) * _INV.upto(len(data))[: len(data) - GRAM + 1])
+        return (np.empty(0, np.int64),) * 5
+    h = _gram_hashes(data)
     low = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
     span, want = 1, LENGTH - GRAM + 1
     while span < want:  # least of `want` pieces, the leftmost among equals
@@ -125,10 +147,10 @@ def _runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     fits = np.arange(len(at)) + LENGTH <= (begin + sizes)[doc]
     new = np.diff(at, prepend=-1) != 0
     new |= np.diff(doc, prepend=-1) != 0
-    first = np.flatnonzero(new & fits)
-    n = np.add.reduceat(fits.astype(np.int64), np.flatnonzero(new)) if new.any() else np.empty(0, np.int64)
-    n = n[fits[np.flatnonzero(new)]]
-    return doc[first], h[at[first]].view(np.int64), first - begin[doc[first]], n
+    cuts = np.flatnonzero(new)
+    n = np.add.reduceat(fits.astype(np.int64), cuts)
+    first, n = cuts[fits[cuts]], n[fits[cuts]]
+    return doc[first], h[at[first]].view(np.int64), first - begin[doc[first]], n, at[first] - first
 
 
 def _blocks(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes], list[int]]]:
@@ -148,64 +170,134 @@ def _blocks(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes],
         yield names, parts, places
 
 
+def _shared(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """0: no other document has the minimizer here; 1: one row of a shared minimizer; 2: its other rows."""
+    order = np.argsort(h, kind="stable")
+    a, d = h[order], doc[order]
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+    several = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
+    marks = np.repeat(np.where(several, 2, 0), np.diff(np.append(first, len(a))))
+    marks[first[several]] = 1
+    out = np.empty(len(h), np.int64)
+    out[order] = marks
+    return out
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs as ``(h, doc, place)``: place packs the first start, the starts, the minimizer's place and the mark of ``_shared``."""
     for pdf in batches:
+        hs, docs, at = [], [], []
         for names, parts, places in _blocks(pdf["doc"].tolist(), [t.encode() for t in pdf["text"]]):
-            text, h, start, n = _runs(parts)
-            yield pd.DataFrame({"h": h, "doc": np.array(names)[text], "start": start + np.array(places)[text], "n": n.astype(np.int32)})
-
-
-def _covered(starts: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Maximal runs of bytes covered by strings at these starts."""
-    s = np.unique(np.concatenate(starts))
-    cut = np.flatnonzero(np.diff(s) > LENGTH)
-    return list(zip(s[np.concatenate([[0], cut + 1])].tolist(), (s[np.concatenate([cut, [len(s) - 1]])] + LENGTH).tolist()))
+            text, h, start, n, off = _runs(parts)
+            hs.append(h)
+            docs.append(np.array(names, np.int64)[text])
+            at.append(((start + np.array(places, np.int64)[text]) * 32 + n - 1) * 32 + off)
+        if hs and sum(map(len, hs)):
+            h, doc = np.concatenate(hs), np.concatenate(docs)
+            yield pd.DataFrame({"h": h, "doc": doc, "place": np.concatenate(at) * 4 + _shared(h, doc)})
+
+
+def _in_two_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``h``, ``(doc, place)`` of those whose minimizer is marked as shared or occurs in two documents.
+
+    Rows of the last minimizer are held only while they are of one document."""
+    held, hot, taken = np.empty((3, 0), np.int64), None, []
+    for batch in chain(batches, [None]):
+        taken += [batch] if batch is not None else []
+        if not taken or batch is not None and sum(map(len, taken)) < ROWS:
+            continue
+        h, doc, place = held = np.concatenate([held, *([c.to_numpy(zero_copy_only=False) for c in b.columns] for b in taken)], axis=1)
+        taken = []
+        if not len(h):
+            continue
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        keep = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+        keep |= np.maximum.reduceat(place & 3, first) > 0
+        keep[0] |= hot is not None and h[0] == hot
+        rows = np.repeat(keep, np.diff(np.append(first, len(h))))
+        hot, held = (h[-1], held[:, :0]) if keep[-1] else (None, held[:, first[-1] :])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[rows]), pa.array(place[rows] >> 2)], ["doc", "place"])
+
+
+def _covered(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of bytes covered by strings that start from ``first`` to ``last``."""
+    order = np.argsort(first)
+    a, b = first[order], np.maximum.accumulate(last[order]) + LENGTH
+    cut = np.flatnonzero(a[1:] > b[:-1])
+    return list(zip(a[np.append(0, cut + 1)].tolist(), b[np.append(cut, len(b) - 1)].tolist()))
+
+
+def _steps(low: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(first, last, low) of the runs of wanted starts with one smallest document."""
+    cut = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (wanted[1:] != wanted[:-1])))
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(low)]):
+        if wanted[a]:
+            yield a, b - 1, int(low[a])
 
 
 def removals(texts: DataFrame) -> DataFrame:
     """``(doc, text)`` of distinct texts -> ``(doc, spans)``: array of (start, stop) bytes to remove, for documents that lose any."""
-    runs = texts.mapInPandas(_scan, "h long, doc long, start long, n int")
-    hot = runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-    kept = runs.join(stored(hot, "suffix-minimizers"), "h")
-    lists = stored(kept.groupBy("doc").agg(F.collect_list(F.struct("h", "start", "n")).alias("runs")), "suffix-runs")
+    runs = texts.mapInPandas(_scan, "h long, doc long, place long")
+    # One row of a minimizer known as shared goes to the others of its hash; the rest are dealt evenly.
+    route = F.when(F.col("place").bitwiseAND(3) == 2, F.xxhash64("doc", "place")).otherwise(F.col("h"))
+    kept = runs.repartition(route).sortWithinPartitions("h").mapInArrow(_in_two_documents, "doc long, place long")
+    lists = stored(kept.groupBy("doc").agg(F.collect_list("place").alias("runs")), "suffix-runs")
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i in range(0, len(pdf), 500):
                 p = pdf.iloc[i : i + 500]
                 rows = [
-                    (r["h"], b[r["start"] : r["start"] + r["n"] + LENGTH - 1], doc, r["start"])
+                    (b[r >> 10 : (r >> 10) + (r >> 5 & 31) + LENGTH], doc, r >> 10, r & 31)
                     for doc, b, rs in zip(p["doc"], (t.encode() for t in p["text"]), p["runs"])
-                    for r in rs
+                    for r in rs.tolist()
                 ]
-                yield pd.DataFrame(rows, columns=["h", "context", "doc", "start"])
-
-    found = stored(texts.join(lists, "doc").mapInPandas(contexts, "h long, context binary, doc long, start long"), "suffix-contexts")
-    distinct = found.groupBy("h", "context").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    distinct = stored(distinct.select("h", "context", "least"), "suffix-distinct")
-    per_h = stored(distinct.groupBy("h").agg(F.count("*").alias("ways")), "suffix-ways")
-    several = distinct.join(per_h.where("ways > 1").select("h"), "h")
-    # The only context of its minimizer: all its strings have its documents and no others.
-    one = distinct.join(per_h.where("ways = 1").select("h"), "h")
-    one = one.select("h", "context", F.array_repeat("least", F.octet_length("context") - (LENGTH - 1)).alias("strings"))
-    total = several.agg(F.sum(F.octet_length("context"))).first()[0] or 0
+                yield pd.DataFrame(rows, columns=["context", "doc", "start", "off"])
+
+    found = texts.join(lists, "doc").mapInPandas(contexts, "context binary, doc long, start long, off int")
+    found = stored(found, "suffix-contexts")
+    # The minimizer and its place follow from the context, so they are the same in all its rows.
+    distinct = found.groupBy("context").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.min("off").alias("off"))
+    distinct = stored(distinct, "suffix-distinct")
+    # A context in several documents: all its strings have its documents.
+    starts = F.octet_length("context") - (LENGTH - 1)
+    whole = distinct.where("least < most").select("context", F.lit(0).alias("a"), (starts - 1).alias("b"), F.col("least").alias("low"))
+    # Two contexts with a common string agree in their minimizer and SIDE bytes before or after it.
+    before = F.expr(f"substring(context, off - {SIDE - 1}, {SIDE + GRAM})")
+    after = F.expr(f"substring(context, off + 1, {SIDE + GRAM})")
+    sides = F.array(
+        F.when(F.col("off") >= SIDE, F.xxhash64(F.lit(0), before)),
+        F.when(F.octet_length("context") >= F.col("off") + (SIDE + GRAM), F.xxhash64(F.lit(1), after)),
+    )
+    pieces = distinct.select("context", "least", F.explode(F.array_compact(sides)).alias("side"))
+    size = F.octet_length("context")
+    groups = pieces.groupBy("side").agg(F.min("least").alias("x"), F.max("least").alias("y"), F.sum(size).alias("bytes"))
+    near = stored(pieces.join(groups.where("x < y").select("side", "bytes"), "side"), "suffix-near")
+    total = near.agg(F.sum(size)).first()[0] or 0
     parts = max(1, -(-4 * total // PART))
 
     def order(g: pd.DataFrame) -> pd.DataFrame:
-        least = least_documents(g["context"].tolist(), g["least"].to_numpy())
-        return pd.DataFrame({"h": g["h"], "context": g["context"], "strings": least})
-
-    dealt = several.withColumn("part", F.pmod("h", F.lit(parts)))
-    sorted_ = map_groups(dealt, ["part"], order, "h long, context binary, strings array<long>")
-    known = stored(sorted_.union(one), "suffix-least")
-
-    both = found.join(known, ["h", "context"]).where(F.exists("strings", lambda x: x < F.col("doc")))
-    starts = F.transform("strings", lambda x, i: F.when(x < F.col("doc"), F.col("start") + i))
-    per_doc = both.select("doc", F.filter(starts, lambda x: x.isNotNull()).alias("starts")).groupBy("doc").agg(F.collect_list("starts").alias("starts"))
+        contexts, least = g["context"].tolist(), g["least"].to_numpy()
+        lows = least_documents(contexts, least)
+        rows = [(c, *step) for c, mine, low in zip(contexts, least, lows) if (less := low < mine).any() for step in _steps(low, less)]
+        return pd.DataFrame(rows, columns=["context", "a", "b", "low"])
+
+    dealt = near.where(F.col("bytes") <= PART).withColumn("part", F.pmod("side", F.lit(parts)))
+    sorted_ = map_groups(dealt, ["part"], order, "context binary, a int, b int, low long")
+    # A group beyond one part is never taken whole: its strings are counted one by one, partially first.
+    wide = near.where(F.col("bytes") > PART).select("context", "least", F.explode(F.sequence(F.lit(0), starts - 1)).alias("a"))
+    wide = wide.withColumn("string", F.expr(f"substring(context, a + 1, {LENGTH})"))
+    lows = wide.groupBy("string").agg(F.min("least").alias("low"))
+    each = wide.join(lows, "string").where("low < least").select("context", "a", F.col("a").alias("b"), "low")
+    known = stored(whole.unionByName(sorted_).unionByName(each), "suffix-least")
+
+    hits = found.join(known, "context").where("low < doc")
+    hits = hits.select("doc", F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b")).alias("hit"))
+    per_doc = hits.groupBy("doc").agg(F.collect_list("hit").alias("hits")).select("doc", F.col("hits.a").alias("a"), F.col("hits.b").alias("b"))
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            spans = [[{"start": a, "stop": b} for a, b in _covered(list(s))] for s in pdf["starts"]]
+            spans = [[{"start": a, "stop": b} for a, b in _covered(*ab)] for ab in zip(pdf["a"], pdf["b"])]
             yield pd.DataFrame({"doc": pdf["doc"], "spans": spans})
 
     return per_doc.mapInPandas(cover, "doc long, spans array<struct<start:long,stop:long>>")
