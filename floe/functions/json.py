@@ -48,6 +48,42 @@ def first_of_envelope(
     return df.select(*keep, F.get(parsed, 0).alias("item"))
 
 
+CORRUPT = "_corrupt"
+
+
+def parse_envelopes(df: DataFrame, text_col: str, element: T.DataType, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep``, the text, ``items`` and ``bad``, parsed once per row.
+
+    ``bad`` marks documents that are missing, are cut off or not JSON, have no
+    ``response`` array, or hold a field of another type than declared; they go
+    to a quarantine instead of turning into defaults."""
+    schema = envelope_schema(element).add(CORRUPT, T.StringType())
+    parsed = F.from_json(text_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    once = df.select(*keep, text_col, F.explode(F.array(parsed)).alias("_p"))
+    items = F.col(f"_p.{ENVELOPE_FIELD}")
+    bad = F.col(f"_p.{CORRUPT}").isNotNull() | items.isNull()
+    return once.select(*keep, text_col, items.alias("items"), bad.alias("bad"))
+
+
+def undeclared_paths(text: Column, tree: dict) -> Column:
+    """Paths of the fields, at every level, that the declared tree does not
+    have (sorted); empty for a record that strict mode accepts, NULL for text
+    that is not JSON.  Objects where the tree has a leaf are not entered."""
+    doc = F.try_parse_json(text)
+
+    def walk(node: dict, path: str) -> list[Column]:
+        keys = F.map_keys(F.try_variant_get(doc, "$" + "".join(f".{p}" for p in path.split(".") if p), "map<string,variant>"))
+        here = F.array_except(keys, F.array(*[F.lit(k) for k in node]))
+        prefix = f"{path}." if path else ""
+        out = [F.coalesce(F.transform(here, lambda k: F.concat(F.lit(prefix), k)), F.array().cast("array<string>"))]
+        for name, child in node.items():
+            if isinstance(child, dict):
+                out += walk(child, prefix + name)
+        return out
+
+    return F.when(doc.isNotNull(), F.array_sort(F.concat(*walk(tree, ""))))
+
+
 def unknown_keys(text: Column, declared: Sequence[str]) -> Column:
     """Top-level keys of a JSON object that the schema does not declare
     (strict mode: a non-empty result is a rejection)."""

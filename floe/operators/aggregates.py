@@ -27,12 +27,6 @@ def count_rows(name: str = "n") -> Mergeable:
     return Mergeable(name, F.count(F.lit(1)), F.sum)
 
 
-def count_where(predicate: Column, name: str) -> Mergeable:
-    """Counts rows matching ``predicate`` without filtering them out (the
-    rows still advance event time in a stream)."""
-    return Mergeable(name, F.count_if(predicate), F.sum)
-
-
 def sum_of(expr: Column, name: str) -> Mergeable:
     return Mergeable(name, F.sum(expr), F.sum)
 
@@ -51,10 +45,6 @@ def min_struct(name: str, *fields: Column) -> Mergeable:
     return Mergeable(name, F.min(_positional_struct(fields)), F.min)
 
 
-def max_struct(name: str, *fields: Column) -> Mergeable:
-    return Mergeable(name, F.max(_positional_struct(fields)), F.max)
-
-
 def _positional_struct(fields) -> Column:
     """Struct with fields named ``_0, _1, ...`` (compared left to right)."""
     return F.struct(*[f.alias(f"_{i}") for i, f in enumerate(fields)])

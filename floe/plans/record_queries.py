@@ -330,6 +330,30 @@ def q_envelope_first(spark, sf_dir):
     )
 
 
+# Some documents are cut off, some hold a text where a number is declared.
+
+
+@query(
+    "envelope_quarantine",
+    oracle=f"""
+    SELECT l_orderkey, CAST(floor((l_linenumber - 1) / {_LINES_PER_PAGE}) AS INTEGER) AS page,
+           CAST(count(*) AS BIGINT) AS n_lines, l_orderkey % 10 IN (3, 7) AS bad
+    FROM lineitem GROUP BY ALL
+    """,
+)
+def q_envelope_quarantine(spark, sf_dir):
+    """Every document with its verdict; the lines of a bad one are counted from its text."""
+    docs, last = _envelopes(spark, sf_dir), F.pmod("l_orderkey", F.lit(10))
+    broken = (
+        F.when(last == 3, F.expr("left(value, length(value) - 2)"))
+        .when(last == 7, F.replace("value", F.lit('"l_partkey":'), F.lit('"l_partkey":"x","y":')))
+        .otherwise(F.col("value"))
+    )
+    parsed = J.parse_envelopes(docs.withColumn("value", broken), "value", _line_struct_type(), keep=["l_orderkey", "page"])
+    lines = F.when(F.col("bad"), F.regexp_count("value", F.lit('"l_linenumber"'))).otherwise(F.size("items"))
+    return parsed.select("l_orderkey", "page", lines.cast("bigint").alias("n_lines"), "bad")
+
+
 # ---- JSON round trip ------------------------------------------------------------
 
 _CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -350,8 +374,8 @@ def q_json_roundtrip(spark, sf_dir):
 _FIXTURE_ID_MOD = 1000000007
 
 
-def _match_text(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"], spread_rows=True)
+def _match_text(spark, sf_dir, *keep):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value", *keep], spread_rows=True)
     et = F.col("event_type")
     fid = F.pmod("event_id", F.lit(_FIXTURE_ID_MOD)).cast("string")
     referee = (
@@ -375,7 +399,7 @@ def _match_text(spark, sf_dir):
     text = F.concat(
         F.lit("{"), winner, F.lit('"fixture":{"id":'), fid, referee, status, F.lit("}"), goals, F.lit(',"zzz":1}')
     )
-    return ev.select("event_id", text.alias("value"))
+    return ev.select("event_id", text.alias("value"), *keep)
 
 
 @query(
@@ -413,3 +437,68 @@ def q_nested_defaults(spark, sf_dir):
         F.col("m.league.name").alias("league_name"),
         F.col("m.score.halftime.home").alias("halftime_home"),
     )
+
+
+# ---- match envelopes by date, strict records -----------------------------------
+
+MATCH_DATE = "2024-01-15"
+_MATCHES_PER_PAGE = 16
+
+
+@query(
+    "match_by_date",
+    oracle=f"""
+    SELECT CAST(event_id % {_FIXTURE_ID_MOD} AS INTEGER) AS id, strftime(ts, '%Y-%m-%d') AS match_date,
+           CASE WHEN event_type IN ('view', 'click') THEN concat('ref-', user_id) ELSE 'unknown' END AS referee,
+           CASE WHEN event_type = 'purchase' THEN CAST(user_id % 5 AS INTEGER) ELSE 0 END AS home_goals,
+           value > 250 AS home_winner, 'unknown' AS league_name
+    FROM events WHERE CAST(ts AS DATE) = DATE '{MATCH_DATE}'
+    """,
+)
+def q_match_by_date(spark, sf_dir):
+    """Full match records of one day out of ``{"response": [...]}`` pages."""
+    texts = _match_text(spark, sf_dir, "ts")
+    day = F.concat(F.lit('"fixture":{"date":"'), F.col("ts").cast("date").cast("string"), F.lit('",'))
+    dated = texts.select("event_id", F.replace("value", F.lit('"fixture":{'), day).alias("value"))
+    page = F.floor(F.col("event_id") / _MATCHES_PER_PAGE).alias("page")
+    pages = dated.groupBy(page).agg(F.sort_array(F.collect_list("value")).alias("values"))
+    docs = pages.select("page", F.concat(F.lit('{"response":['), F.array_join("values", ","), F.lit("]}")).alias("value"))
+    parsed = J.parse_envelopes(docs, "value", MATCH).where(~F.col("bad"))
+    m = parsed.select(F.explode("items").alias("raw")).where(F.col("raw.fixture.date") == MATCH_DATE)
+    return m.select(fill_defaults(F.col("raw"), MATCH_TREE).alias("m")).select(
+        F.col("m.fixture.id").alias("id"),
+        F.col("m.fixture.date").alias("match_date"),
+        F.col("m.fixture.referee").alias("referee"),
+        F.col("m.goals.home").alias("home_goals"),
+        F.col("m.teams.home.winner").alias("home_winner"),
+        F.col("m.league.name").alias("league_name"),
+    )
+
+
+@query(
+    "json_strict",
+    oracle="""
+    SELECT event_id,
+           CASE event_type WHEN 'view' THEN '' WHEN 'error' THEN 'fixture.status.bogus'
+                           WHEN 'click' THEN 'fixture.bogus,zzz' WHEN 'purchase' THEN 'zzz' END AS undeclared,
+           event_type = 'view' AS accepted
+    FROM events
+    """,
+)
+def q_json_strict(spark, sf_dir):
+    """Strict records: undeclared fields at any level reject, and so does text that is not JSON."""
+    texts, et = _match_text(spark, sf_dir, "event_type"), F.col("event_type")
+    clean = F.replace("value", F.lit(',"zzz":1'), F.lit(""))
+    text = (
+        F.when(et == "view", clean)
+        .when(et == "error", F.replace(clean, F.lit('"status":{'), F.lit('"status":{"bogus":{"a":1},')))
+        .when(et == "click", F.replace("value", F.lit('"fixture":{'), F.lit('"fixture":{"bogus":null,')))
+        .when(et == "signup", F.expr("left(value, length(value) - 1)"))
+        .otherwise(F.col("value"))
+    )
+    paths = texts.select("event_id", J.undeclared_paths(text, MATCH_TREE).alias("paths"))
+    return paths.select(
+        "event_id",
+        F.array_join("paths", ",").alias("undeclared"),
+        F.coalesce(F.size("paths") == 0, F.lit(False)).alias("accepted"),
+    )

@@ -79,8 +79,7 @@ def _guarded_views(spark, sf_dir):
 def q_stream_topn(spark, sf_dir):
     views = _guarded_views(spark, sf_dir).select("ts", W.item_of(F.col("props")).alias("item_id"))
     size, slide = W.ITEM_WINDOW
-    ranked = stream_top_items(views, "ts", "item_id", size, slide, W.TOP_N)
-    out = run_to_frame(spark, ranked, "topn")
+    out = stream_top_items(spark, views, "topn", "ts", "item_id", size, slide, W.TOP_N)
     return out.select(*_ntz("window_end"), "item_id", "view_count", "rank")
 
 

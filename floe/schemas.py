@@ -24,17 +24,9 @@ CLICKS = T.StructType(
         T.StructField("ts_seconds", T.LongType()),
     ]
 )
-TICKS = "symbol STRING, ts BIGINT, price DOUBLE"
-PRICES = "ts BIGINT, price_text STRING, price DOUBLE"
-NUMBERS = "ts BIGINT, number INT"
 SALES = "sale_date STRING, month STRING, category STRING, product STRING, profit INT"
 POINTS = "x DOUBLE, y DOUBLE"
 PARAMS = "theta0 DOUBLE, theta1 DOUBLE"
-ORDERS_FROM_SIGNALS = (
-    "parent_order_id INT, action STRING, quantity INT, limit_price DOUBLE, "
-    "take_profit DOUBLE, stop_loss DOUBLE"
-)
-
 # --- nested match record ----------------------------------------------------
 
 # Declared defaults of the match record's leaves.
@@ -104,13 +96,4 @@ def fill_defaults(col: Column, tree: dict[str, Any]) -> Column:
     return F.struct(*parts)
 
 
-def leaf_paths(tree: dict[str, Any], prefix: str = "") -> list[str]:
-    out: list[str] = []
-    for name, node in tree.items():
-        path = f"{prefix}{name}"
-        out.extend(leaf_paths(node, path + ".") if isinstance(node, dict) else [path])
-    return out
-
-
 MATCH = schema_of(MATCH_TREE)
-MATCH_ENVELOPE = T.StructType([T.StructField("response", T.ArrayType(MATCH))])

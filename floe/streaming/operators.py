@@ -2,20 +2,23 @@
 
 Input: a streaming frame with event time and a watermark.  The window
 aggregate runs in Spark's state store (append mode: a window is emitted once,
-when the watermark passes its end); the per-key follow-up runs in a keyed
-stateful processor.
+when the watermark passes its end).  The per-key follow-up runs in a keyed
+stateful processor; the ranking inside a window needs no state and runs on
+each micro-batch of closed windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floe.operators.aggregates import count_rows
 from floe.operators.change import window_price_stats
+from floe.operators.topn import top_items
 from floe.operators.windows import windowed
-from floe.streaming.processors import PreviousWindowChange, TopNPerWindow
+from floe.streaming.processors import PreviousWindowChange
+from floe.streaming.runner import run_batches
 
 _TIME_COLS = ["window_start", "window_end", "first_ts", "last_ts", "max_ts"]
 _STATS_COLS = ["window_start", "window_end", "first_ts", "last_ts", "min_price", "max_price", "max_ts"]
@@ -60,52 +63,25 @@ def stream_window_change(
     return _from_micros(changed, _TIME_COLS)
 
 
-_TOPN_SCHEMA = T.StructType(
-    [
-        T.StructField("window_end", T.LongType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("view_count", T.LongType()),
-        T.StructField("rank", T.IntegerType()),
-    ]
-)
-
-
-# Slices a window's items are ranked in before the per-window merge.  The
-# ranking input is already one row per distinct item and window (the count
-# aggregate collapses hot items), so one stage is bounded by the item
-# catalogue; slicing pays off only for windows with millions of items.
-TOPN_SLICES = 1
+def stream_item_counts(stream: DataFrame, ts_col: str, item_col: str, size: str, slide: str | None = None) -> DataFrame:
+    """``window_end, item_id, view_count``: counts per item of every closed window."""
+    counts = windowed(
+        stream, ts_col, size, [count_rows("view_count")], slide=slide, keys=[item_col], strategy="direct"
+    )
+    return counts.select("window_end", F.col(item_col).cast("bigint").alias("item_id"), "view_count")
 
 
 def stream_top_items(
-    stream: DataFrame,
-    ts_col: str,
-    item_col: str,
-    size: str,
-    slide: str | None,
-    n: int,
-    slices: int = TOPN_SLICES,
+    spark: SparkSession, stream: DataFrame, name: str, ts_col: str, item_col: str, size: str, slide: str | None, n: int
 ) -> DataFrame:
-    """Top ``n`` items per window (count descending, ties by item id).
+    """Runs ``stream`` to its end; top ``n`` items per window (count
+    descending, ties by item id), read back from the sink.
 
-    With ``slices > 1`` this is two keyed steps, the streaming form of a
-    partial window-group limit: the items of a window are ranked in
-    ``slices`` hash slices (top ``n`` each), then the at most ``slices * n``
-    survivors of each window are merged, so a window with millions of items
-    is spread over ``slices`` tasks.
+    In append mode all counts of a window arrive in the micro-batch where the
+    watermark passes its end, so each batch is ranked by the batch operator:
+    a partial limit per task before the exchange, no Python and no state
+    beyond the counts, however many items a window has.
     """
-    counts = windowed(
-        stream, ts_col, size, [count_rows("view_count")], slide=slide, keys=[item_col], strategy="direct"
-    ).select(
-        F.unix_micros("window_end").alias("window_end"),
-        F.col(item_col).cast("bigint").alias("item_id"),
-        "view_count",
-    )
-    if slices > 1:
-        sliced = counts.withColumn("_slice", F.pmod(F.xxhash64("item_id"), F.lit(slices)))
-        partial = sliced.groupBy("window_end", "_slice").transformWithState(
-            TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None"
-        )
-        counts = partial.select("window_end", "item_id", "view_count")
-    ranked = counts.groupBy("window_end").transformWithState(TopNPerWindow(n), _TOPN_SCHEMA, "Append", "None")
-    return _from_micros(ranked, ["window_end"])
+    counts = stream_item_counts(stream, ts_col, item_col, size, slide)
+    sink = run_batches(spark, counts, name, output_mode="append", transform=lambda batch: top_items(batch, n))
+    return spark.read.parquet(sink).drop("batch")

@@ -1,7 +1,7 @@
 """Stateful steps that follow a windowed streaming aggregation.
 
 Structured Streaming rejects SQL window functions (``lag``, ``row_number``)
-on streams, so the two window-over-window operators are keyed processors
+on streams, so the window-over-window operator is a keyed processor
 (``transformWithState``, row-based: measured ~40% cheaper per key than the
 pandas form for these few-rows-per-key calls):
 
@@ -9,10 +9,6 @@ pandas form for these few-rows-per-key calls):
   value state (one double per key) and emits the change of every window.
   Several closed windows of one key can arrive in one micro-batch; they are
   applied in window order.
-* ``TopNPerWindow``: keyed by window end.  In append mode the upstream
-  aggregate emits all counts of a window in the micro-batch where the
-  watermark passes its end, so the ranking needs no state; the processor
-  streams through the rows keeping only the best ``n`` (a heap).
 
 Times cross the Python boundary as epoch microseconds (BIGINT), so no
 time-zone conversion happens in Python.
@@ -20,7 +16,6 @@ time-zone conversion happens in Python.
 
 from __future__ import annotations
 
-import heapq
 import sys
 from collections.abc import Iterator
 
@@ -72,27 +67,3 @@ class PreviousWindowChange(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class TopNPerWindow(StatefulProcessor):
-    """Input rows: window_end, item_id, view_count.  Output adds a 0-based
-    ``rank``: count descending, ties by item id ascending."""
-
-    def __init__(self, n: int):
-        self.n = n
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        pass
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best = heapq.nsmallest(self.n, rows, key=lambda r: (-r["view_count"], r["item_id"]))
-        for rank, row in enumerate(best):
-            yield Row(
-                window_end=row["window_end"],
-                item_id=row["item_id"],
-                view_count=row["view_count"],
-                rank=rank,
-            )
-
-    def close(self) -> None:
-        pass

@@ -8,6 +8,8 @@ stops.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from floe.session import ROCKSDB_PROVIDER, scoped_conf, scratch_path
@@ -82,15 +84,18 @@ def run_batches(
     output_mode: str = "update",
     timeout_s: float | None = None,
     state_partitions: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
-    """Modes a file sink cannot take (update / complete): each micro-batch is
+    """Modes a file sink cannot take (update / complete), and batch steps that
+    a stream cannot (``transform``): each micro-batch is
     written by ``foreachBatch`` to its own ``batch=<id>`` folder, overwritten
     on a retry of the same batch id, so replays stay idempotent."""
     base = scratch_path(spark, f"stream-{name}")
     sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        out = transform(batch) if transform else batch
+        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     with scoped_conf(spark, _start_conf(spark, state_partitions)):
         query = (

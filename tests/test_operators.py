@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from floe.functions.json import envelope_schema, explode_envelope, first_of_envelope, unknown_keys
+from floe.functions.json import envelope_schema, explode_envelope, first_of_envelope, parse_envelopes, undeclared_paths, unknown_keys
 from floe.functions.parse import parse_delimited, parse_numbers, parse_prices, parse_sales, parse_ticks
 from floe.functions.render import render_alert, render_change_report
 from floe.functions.urls import fill_template
@@ -239,6 +239,35 @@ def test_envelope_defaults(spark):
     assert firsts[0].fixture.id == 7 and firsts[1] is None and firsts[2] is None and firsts[3] is None
 
 
+def test_envelope_verdicts(spark):
+    texts = [
+        '{"response":[{"goals":{"home":1}}]}',
+        '{"response":[]}',
+        '{"response":[{"goals":{"home":1}}',
+        '{"response":[{"goals":{"home":"many"}}]}',
+        '{"other":1}',
+        "",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = {r.i: r for r in parse_envelopes(df, "value", MATCH, keep=["i"]).collect()}
+    assert [got[i].bad for i in range(7)] == [False, False, True, True, True, True, True]
+    assert got[0]["items"][0].goals.home == 1 and got[1]["items"] == []
+
+
+def test_undeclared_paths_at_every_level(spark):
+    texts = [
+        '{"fixture":{"venue":{"id":1,"roof":{"x":1}},"bogus":1},"zzz":null}',
+        '{"fixture":null,"goals":{"home":{"a":1}},"teams":[1]}',
+        "{}",
+        '{"fixture":',
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = {r.i: r.p for r in df.select("i", undeclared_paths(F.col("value"), MATCH_TREE).alias("p")).collect()}
+    assert got == {0: ["fixture.bogus", "fixture.venue.roof", "zzz"], 1: [], 2: [], 3: None, 4: None}
+
+
 def test_unknown_keys_strict_mode(spark):
     df = spark.createDataFrame([('{"fixture":{},"zzz":1}',)], "value string")
     assert df.select(unknown_keys(F.col("value"), list(MATCH_TREE)).alias("u")).first().u == ["zzz"]

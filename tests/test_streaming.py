@@ -1,6 +1,8 @@
 """Micro-batch semantics of the streaming operators (one list = one batch):
 late rows, watermark guard, previous-window state across batches."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,18 +121,18 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     assert got[1][2] == pytest.approx((15 - 99) / 99 * 100)
 
 
-def test_sliced_stream_top_n_equals_single_stage(spark):
-    """The two-stage (sliced) ranking gives the same top-N as one stage."""
+def test_stream_top_n_ranks_whole_windows(spark):
+    """Ranks over all items of a window, ties by item id, in every micro-batch that closes one."""
     from floe.streaming.operators import stream_top_items
 
     rows = [(t, "a", "pv", float(t % 7)) for t in range(0, 60)] + [(t, "b", "pv", float(t % 3)) for t in range(0, 60, 2)]
-    batches = [rows[:40], rows[40:], SENTINEL]
-
-    def ranked(slices):
-        timed = micro_batches(spark, batches)
-        items = timed.select("ts", (F.col("v") * 10 + F.when(F.col("sym") == "a", 1).otherwise(2)).cast("long").alias("item"))
-        out = stream_top_items(items, "ts", "item", "20 seconds", "10 seconds", 3, slices=slices)
-        return sorted((seconds(r.window_end), r.rank, r.item_id, r.view_count) for r in run_to_frame(spark, out, f"topn{slices}").collect())
-
-    single = ranked(1)
-    assert single and ranked(4) == single
+    item = lambda v, sym: int(v * 10) + (1 if sym == "a" else 2)
+    timed = micro_batches(spark, [sorted(rows)[:40], sorted(rows)[40:], SENTINEL])
+    items = timed.select("ts", (F.col("v") * 10 + F.when(F.col("sym") == "a", 1).otherwise(2)).cast("long").alias("item"))
+    out = stream_top_items(spark, items, "topn", "ts", "item", "20 seconds", "10 seconds", 3)
+    got = sorted((seconds(r.window_end), r.rank, r.item_id, r.view_count) for r in out.collect())
+    want = []
+    for end in range(10, 80, 10):
+        counts = Counter(item(v, sym) for t, sym, _, v in rows if end - 20 <= t < end)
+        want += [(end, i, k, c) for i, (k, c) in enumerate(sorted(counts.items(), key=lambda kc: (-kc[1], kc[0]))[:3])]
+    assert got == want
