@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -213,6 +214,29 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert got == brute_suffix(rows)
 
 
+def test_suffix_groups_beyond_one_part(spark, monkeypatch):
+    """A phrase in every document with other words around it: its groups go by exact string and give the same rows."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    phrase = "all rights reserved, see the notice at the end of this page for more"
+    rows = [(i, f"{word()} {word()} {phrase} {rng.choice('xyz') * 20} {word()}") for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix, "PART", 500)
+    assert {r.doc_id: tuple(r)[1:] for r in suffix.digest(frame).collect()} == brute_suffix(rows)
+
+
+def test_minimizers_in_two_documents(monkeypatch):
+    """Groups that span batches, marked rows, and rows held until a second document comes."""
+    monkeypatch.setattr(suffix, "ROWS", 3)
+    rng = random.Random(3)
+    rows = sorted((h, rng.choice([h, h, h + 100]), rng.randint(0, 50) * 4) for h in range(30) for _ in range(rng.randint(1, 12)))
+    rows += [(40, 1, 1)] + [(41, 1, 2)] * 4 + [(42, 1, 0)] * 9
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 2])], ["h", "doc", "place"]) for i in range(0, len(rows), 2)]
+    got = sorted((d, p) for b in suffix._in_two_documents(iter(batches)) for d, p in zip(b["doc"].to_pylist(), b["place"].to_pylist()))
+    docs = {h: {d for g, d, _ in rows if g == h} for h, _, _ in rows}
+    assert got == sorted((d, p >> 2) for h, d, p in rows if len(docs[h]) > 1 or h in (40, 41))
+
+
 def test_suffix_awkward_rows(spark, awkward, empty):
     rows = {(d, t) for d, t, *_ in AWKWARD if d is not None}
     assert {r.doc_id: tuple(r)[1:] for r in suffix.digest(awkward).collect()} == brute_suffix(rows)
