@@ -15,8 +15,8 @@ def keyed_profit(
     """``key, profit, n, carried, avg_profit`` per key.
 
     Money is summed as DECIMAL so the total is exact and order-independent.
-    The carried attribute comes from the row with the smallest
-    ``carry_order``.  ``min_by`` over a string buffer would force a sort of
+    The carried attribute (a struct for several) comes from the row with the
+    smallest ``carry_order``.  ``min_by`` over a string buffer would force a sort of
     every input row (SortAggregate), so the carried value is made a grouping
     key of a first, hash-aggregated pass -- (key, carry) -> sum, count,
     min(order) -- and the second pass over those few rows picks the carry.

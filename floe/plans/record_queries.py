@@ -52,6 +52,32 @@ def q_month_profit(spark, sf_dir):
     )
 
 
+@query(
+    "month_profit_two_carried",
+    oracle="""
+    SELECT monthname(o_orderdate) AS month,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS profit,
+           arg_min(o_orderpriority, o_orderkey) AS first_priority, arg_min(o_orderstatus, o_orderkey) AS first_status
+    FROM orders GROUP BY 1
+    """,
+)
+def q_month_profit_two_carried(spark, sf_dir):
+    columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+    out = keyed_profit(
+        read_table(spark, sf_dir, "orders", columns),
+        key=F.date_format("o_orderdate", "MMMM"),
+        amount=F.col("o_totalprice"),
+        carry=F.struct("o_orderpriority", "o_orderstatus"),
+        carry_order=F.col("o_orderkey"),
+    )
+    return out.select(
+        F.col("key").alias("month"),
+        "profit",
+        F.col("carried.o_orderpriority").alias("first_priority"),
+        F.col("carried.o_orderstatus").alias("first_status"),
+    )
+
+
 # ---- URL templates ------------------------------------------------------------------
 
 # Placeholder names and the default time zone of the requests.

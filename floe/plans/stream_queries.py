@@ -19,7 +19,7 @@ from floe.plans import window_queries as W
 from floe.plans.registry import REGISTRY, query
 from floe.sources.tables import read_table
 from floe.streaming.event_time import guarded_filter, with_event_time
-from floe.streaming.operators import stream_top_items, stream_window_change
+from floe.streaming.operators import stream_item_counts, stream_top_items, stream_window_change
 from floe.streaming.replay import FILES_PER_BATCH, replay_files
 from floe.streaming.runner import run_batches, run_to_frame
 
@@ -53,21 +53,29 @@ def q_stream_track_change(spark, sf_dir):
     )
 
 
-@query("stream_large_delta", oracle=REGISTRY["large_delta"].oracle)
-def q_stream_large_delta(spark, sf_dir):
+def _stream_alerts(spark, sf_dir, name, size, slide):
     ev = W.events(spark, sf_dir, "event_type", "ts", "value", "event_id")
     sentinel = {"event_type": "__end__", "ts": FAR_FUTURE, "value": 0.0, "event_id": -1}
     timed = with_event_time(_replayed(spark, ev, sentinel), "ts")
-    size, slide = W.DELTA_WINDOW
     alerts = stream_window_change(
         timed, "event_type", "ts", "value", size, slide=slide, id_col="event_id", threshold=W.DELTA_THRESHOLD
     )
-    out = run_to_frame(spark, alerts, "large_delta")
+    out = run_to_frame(spark, alerts, name)
     return out.select(
         "event_type", *_ntz("window_start"), "max_price", *_ntz("max_ts"), "prev_max", "pct_change"
     )
 
 
+@query("stream_large_delta", oracle=REGISTRY["large_delta"].oracle)
+def q_stream_large_delta(spark, sf_dir):
+    return _stream_alerts(spark, sf_dir, "large_delta", *W.DELTA_WINDOW)
+
+
+@query("stream_large_delta_tumbling", oracle=REGISTRY["large_delta_tumbling"].oracle)
+def q_stream_large_delta_tumbling(spark, sf_dir):
+    return _stream_alerts(spark, sf_dir, "large_delta_tumbling", W.DELTA_TUMBLE, None)
+
+
 def _guarded_views(spark, sf_dir):
     ev = W.events(spark, sf_dir, "ts", "event_type", "props")
     sentinel = {"ts": FAR_FUTURE, "event_type": "__end__", "props": "{}"}
@@ -83,6 +91,13 @@ def q_stream_topn(spark, sf_dir):
     return out.select(*_ntz("window_end"), "item_id", "view_count", "rank")
 
 
+@query("stream_item_window_count", oracle=REGISTRY["item_window_count"].oracle)
+def q_stream_item_window_count(spark, sf_dir):
+    views = _guarded_views(spark, sf_dir).select("ts", W.item_of(F.col("props")).alias("item_id"))
+    out = run_to_frame(spark, stream_item_counts(views, "ts", "item_id", *W.ITEM_WINDOW), "item_counts")
+    return out.select(*_ntz("window_end"), "item_id", "view_count")
+
+
 @query("stream_guarded_filter", oracle=REGISTRY["sliding_count"].oracle)
 def q_stream_guarded_filter(spark, sf_dir):
     views = _guarded_views(spark, sf_dir)
