@@ -8,10 +8,13 @@ Native: DataFrame functions and MLlib's JVM trees only.
    offsets (by running sums over narrow rows), their ends the context.
 2. A base match that passes its check (parts, Luhn, digits) is always redacted.
 3. Boosted trees, fitted on at most ``SAMPLE`` proposals, learn from format
-   and context which proposals look like such data.  Thresholds per kind are
-   calibrated on proposals not fitted on: the lowest score from which the
-   precision stays at ``PRECISION``.  Proposals above it that overlap no base
-   span are added, earlier ones first.
+   and context which proposals look like such data: base spans, and proposals
+   that pass the wide check of their kind (``_wide``).  They see neither the
+   marks that make a base match (``@`` and its spelling, ``+``) nor an issuer's
+   digits, an ending in letters or the order of a phone's groups.  Thresholds
+   per kind are calibrated on proposals that are no base spans, overlap none
+   and were not fitted on: the lowest score from which the precision stays at
+   ``PRECISION``.  Such proposals above it are added, earlier ones first.
 
 Patterns use possessive repeats and anchors at run starts, so the time is
 linear in the text and the matches are those of the plain patterns.
@@ -59,6 +62,41 @@ def _passes(kind: Column, hit: Column) -> Column:
     )
 
 
+_AT = r"\x20?(?:\[at\]|\(at\)|\{at\})\x20?"
+_DOT = r"\x20?(?:\.|\[dot\]|\(dot\)|\{dot\})\x20?"
+#: Groups of a phone number: three, three and four digits after a country's, or a trunk zero with its area and the rest.
+_PHONES = (
+    r"^(?:(?:00)?[0-9]{1,3}[\x20.-]{1,2})?(?:\([0-9]{3}\)[\x20.-]{0,2}|[0-9]{3}[\x20.-]{1,2})[0-9]{3}[\x20.-]{1,2}[0-9]{4}$"
+    r"|^\(?0[1-9][0-9]{1,3}\)?[\x20.-]{1,2}[0-9](?:[\x20.-]{0,2}[0-9]){5,8}$"
+)
+_DATE = r"^(?:[0-9]{4}[.-][0-9]{1,2}[.-][0-9]{1,2}|[0-9]{1,2}[.-][0-9]{1,2}[.-][0-9]{4})$"
+_CALLED = r"(?i)\b(?:tel|phone|call|mobil|fax|cell)[a-z]*\W{0,3}(?:(?:me|us|at|on|is|no|nr|number)\W{1,3}){0,3}$"
+
+
+def _plain(hit: Column) -> Column:
+    """A hit without the marks by which a base pattern finds it: spelt signs as signs, no leading plus."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(hit, _AT, "@"), _DOT, "."), r"^\+", "")
+
+
+def _wide(spans: DataFrame) -> Column:
+    """Whether a proposal is such data by more than the base patterns accept.
+
+    An address whose last part is letters, once its signs are put back; an IP
+    address; a card of 13 to 19 digits by Luhn and an issuer's first digits; a
+    phone number by its groups, or by its digits after a word that names one.
+    """
+    hit, kind, d = F.col("hit"), F.col("kind"), _digits(F.col("hit"))
+    n = F.length(d)
+    named = n.between(7, 15) & F.col("before").rlike(_CALLED) & ~hit.rlike(_DATE)
+    return F.coalesce(
+        F.when(kind == "email", _plain(hit).rlike(rf"^{_WORD}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}$"))
+        .when(kind == "ip", hit.rlike(rf"^0*{_BYTE}(?:\.0*{_BYTE}){{3}}$"))
+        .when(kind == "card", n.between(13, 19) & d.rlike("^(?:[3-6]|2[2-7])") & F.expr("luhn_check(regexp_replace(hit, '[^0-9]', ''))"))
+        .when(kind == "phone", (n.between(7, 15) & hit.rlike(_PHONES)) | named),
+        F.lit(False),
+    )
+
+
 def proposals(rows: DataFrame) -> DataFrame:
     """``(_row, _doc, text)`` -> all proposed spans, and one row of generator null per text.
 
@@ -100,29 +138,27 @@ def proposals(rows: DataFrame) -> DataFrame:
 
 
 FEATURES = (
-    "length digits dots dashes spaces parens plus at distinct_digits groups longest_group luhn bytes_ok "
+    "length digits dots dashes spaces parens distinct_digits groups longest_group luhn bytes_ok "
     "glued_before glued_after after_quote cue_phone cue_card cue_ip cue_mail is_email is_ip is_card is_phone"
 ).split()
 
 
 def _features(spans: DataFrame) -> DataFrame:
     hit, before = F.col("hit"), F.col("before")
-    d = _digits(hit)
+    plain, d = _plain(hit), _digits(hit)
 
     def count(cls: str) -> Column:
-        return F.length(F.regexp_replace(hit, f"[^{cls}]", ""))
+        return F.length(F.regexp_replace(plain, f"[^{cls}]", ""))
 
     groups = F.filter(F.split(hit, "[^0-9]+"), lambda g: g != "")
     cues = {"phone": "tel|phone|call|mobil|fax|cell", "card": "card|visa|credit|master|amex|pay", "ip": r"\bip\b|host|server|addr|login", "mail": "mail|contact|write|send"}
     values = {
-        "length": F.length(hit),
+        "length": F.length(plain),
         "digits": F.length(d),
         "dots": count("."),
         "dashes": count("-"),
         "spaces": count(r"\x20"),
         "parens": count("()"),
-        "plus": count("+"),
-        "at": count("@"),
         "distinct_digits": F.size(F.array_distinct(F.split(d, ""))),
         "groups": F.size(groups),
         "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
@@ -137,6 +173,16 @@ def _features(spans: DataFrame) -> DataFrame:
     return spans.select("*", *[F.coalesce(values[n].cast("double"), F.lit(0.0)).alias(f"f_{n}") for n in FEATURES])
 
 
+def _clear(spans: DataFrame) -> DataFrame:
+    """With ``clear``: the span is no base span and overlaps none."""
+    row = Window.partitionBy("_row")
+    reach = F.max(F.when(F.col("base"), F.col("stop"))).over(row.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+    # Read backwards: a frame that ends at the last row is summed anew for every row.
+    then = F.min(F.when(F.col("base"), F.col("start"))).over(row.orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, 0))
+    free = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(then, F.col("stop")) >= F.col("stop"))
+    return spans.withColumn("clear", ~F.col("base") & free)
+
+
 def _chosen(spans: DataFrame) -> DataFrame | None:
     """Scores and calibrated selection of the proposals that are not base spans; None if there is nothing to learn."""
     from pyspark.ml.classification import GBTClassifier
@@ -144,11 +190,8 @@ def _chosen(spans: DataFrame) -> DataFrame | None:
     from pyspark.ml.functions import vector_to_array
 
     every = spans.where("generator IS NOT NULL")
-    # What a loose proposal should be: data that its kind's own pattern and check accept in full.
-    own = F.lit(False)
-    for k in KINDS:
-        own = own | ((F.col("kind") == k) & F.col("hit").rlike("^(?:" + PATTERNS[k].replace(r"\G|", "") + ")$") & _passes(F.lit(k), F.col("hit")))
-    every = every.withColumn("label", F.coalesce(own, F.lit(False)).cast("double"))
+    every = every.withColumn("label", (F.col("base") | _wide(every)).cast("double"))
+    every = stored(_clear(every), "pii-labelled")
     order = F.xxhash64("_row", "generator", "start")
     sample = _features(every.orderBy(order).limit(SAMPLE)).withColumn("half", F.pmod(F.xxhash64("hit"), F.lit(2)))
     sample = stored(sample, "pii-sample")
@@ -164,10 +207,10 @@ def _chosen(spans: DataFrame) -> DataFrame | None:
 
     # From the highest score down, the share of right ones so far; the threshold is the lowest score with enough.
     down = Window.partitionBy("kind").orderBy(F.col("score").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    held = scored(sample.where("half = 1")).select("kind", "score", "label", F.avg("label").over(down).alias("right"))
+    held = scored(sample.where("half = 1 AND clear")).select("kind", "score", "label", F.avg("label").over(down).alias("right"))
     limits = held.where((F.col("right") >= PRECISION) & (F.col("score") >= 0.5)).groupBy("kind").agg(F.min("score").alias("least"))
     limits = stored(limits, "pii-thresholds")
-    loose = scored(_features(every.where("NOT base")))
+    loose = scored(_features(every.where("clear")))
     return loose.join(F.broadcast(limits), "kind").where("score >= least").select("_row", "kind", "start", "stop", "score")
 
 
@@ -178,14 +221,10 @@ def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     more = _chosen(spans)
     if more is None:
         return spans, base
-    both = base.union(more.select("_row", "kind", "start", "stop", F.lit(False).alias("base"), "score"))
-    by_start = Window.partitionBy("_row").orderBy("start", F.col("base").desc(), F.col("score").desc(), "stop", "kind")
-    earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_start.rowsBetween(1, Window.unboundedFollowing)
-    reach = F.max("stop").over(earlier)
-    next_base = F.min(F.when(F.col("base"), F.col("start"))).over(later)
-    free = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(next_base, F.col("stop")) >= F.col("stop"))
-    return spans, both.withColumn("free", free).where("base OR free").drop("free")
+    by_start = Window.partitionBy("_row").orderBy("start", F.col("score").desc(), "stop", "kind")
+    reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    more = more.withColumn("free", F.coalesce(reach, F.lit(0)) <= F.col("start")).where("free")
+    return spans, base.union(more.select("_row", "kind", "start", "stop", F.lit(False).alias("base"), "score"))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -175,6 +175,53 @@ def test_pii_awkward_rows_and_redaction(spark, awkward, empty):
     assert got == {1: ("mail [email] or [phone] now", 3), 2: (None, 4), 3: ("é none", 5)}
 
 
+def pii_rows(n, kinds, seed=11):
+    """Rows with one span each, and the (kind, start, stop) of those that are personal data beyond the base patterns."""
+    rng = random.Random(seed)
+    words = "alder birch cedar elm fir hazel larch maple oak pine rowan willow".split()
+
+    def dig(k):
+        return "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card(begin, k):
+        body = begin + dig(k - len(begin) - 1)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    make = {
+        "mail": lambda: f"{rng.choice(words)}.{dig(2)}@{rng.choice(words)}.com",
+        "plus": lambda: f"+1 ({rng.randint(200, 999)}) 555-{dig(4)}",
+        "card": lambda: card("4", 16),
+        "spelt:email": lambda: f"{rng.choice(words)}{dig(2)} [at] {rng.choice(words)} [dot] com",
+        "loose:phone": lambda: f"({rng.randint(200, 999)}) 555-{dig(4)}",
+        "dashed:phone": lambda: f"{rng.randint(200, 999)}-555-{dig(4)}",
+        "short:card": lambda: card("37", 15),
+        "year": lambda: str(rng.randint(1900, 2030)),
+        "date": lambda: f"20{dig(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}",
+        "stamp": lambda: "16" + dig(11),
+        "order": lambda: dig(9),
+    }
+    rows, want = [], {}
+    for i in range(n):
+        k = kinds(i, rng)
+        hit = make[k]()
+        begin = " ".join(rng.choice(words) for _ in range(rng.randint(3, 9))) + " "
+        rows.append((i, f"{begin}{hit} {rng.choice(words)}"))
+        if ":" in k:
+            want[i] = f"{k.split(':')[1]}:{len(begin)}:{len(begin) + len(hit)}"
+    return rows, want
+
+
+def test_pii_finds_spelt_addresses_and_loose_numbers(spark):
+    kinds = "mail plus card spelt:email loose:phone dashed:phone short:card year date stamp order".split()
+    rows, want = pii_rows(1200, lambda i, rng: kinds[i % len(kinds)])
+    got = {r.doc_id: r for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {i: r.spans for i, r in got.items() if r.n_added}
+    for kind in ("email", "phone", "card"):
+        mine = [i for i in want if want[i].startswith(kind)]
+        assert sum(added.get(i) == want[i] for i in mine) >= 0.95 * len(mine), kind
+    assert len(added.keys() - want.keys()) <= 0.05 * len(added)
+
+
 # ---- suffix dedup ---------------------------------------------------------------
 
 
