@@ -12,9 +12,10 @@ Native: DataFrame functions and MLlib's JVM trees only.
    that pass the wide check of their kind (``_wide``).  They see neither the
    marks that make a base match (``@`` and its spelling, ``+``) nor an issuer's
    digits, an ending in letters or the order of a phone's groups.  Thresholds
-   per kind are calibrated on proposals that are no base spans, overlap none
-   and were not fitted on: the lowest score from which the precision stays at
-   ``PRECISION``.  Such proposals above it are added, earlier ones first.
+   per kind are calibrated on all proposals that are no base spans, overlap
+   none and have a hit that was not fitted on: the lowest score from which the
+   precision stays at ``PRECISION``.  Such proposals above it are added,
+   earlier ones first; a kind without a threshold goes by its wide check.
 
 Patterns use possessive repeats and anchors at run starts, so the time is
 linear in the text and the matches are those of the plain patterns.
@@ -42,6 +43,8 @@ PATTERNS = {
 GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "number": r"[0-9]", "spelt": r"[\[({]at[\])}]"}
 #: Proposals fitted on at most, and the precision thresholds are set for.
 SAMPLE, PRECISION = 20_000, 0.95
+#: Bins of the score for the thresholds, and the proposals a threshold has to rest on.
+BINS, LEAST = 1_000, 20
 CONTEXT = 24
 
 
@@ -183,35 +186,59 @@ def _clear(spans: DataFrame) -> DataFrame:
     return spans.withColumn("clear", ~F.col("base") & free)
 
 
-def _chosen(spans: DataFrame) -> DataFrame | None:
-    """Scores and calibrated selection of the proposals that are not base spans; None if there is nothing to learn."""
+def _sample(labelled: DataFrame) -> DataFrame:
+    """About ``SAMPLE`` proposals of half 0 at most, as many of each kind, generator and label as there are, up to an equal share."""
+    strata = ["kind", "generator", "label"]
+    mine = labelled.where("half = 0")
+    sizes = mine.groupBy(*strata).agg(F.count("*").alias("n"))
+    share = SAMPLE // (len(KINDS) * 4)
+    # At most 16 sizes; a share by hash needs no sort of a stratum.
+    place = F.pmod(F.xxhash64("_row", "generator", "start"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("n")
+    taken = mine.join(F.broadcast(sizes), strata).withColumn("place", place).where(F.col("place") < share)
+    return stored(_features(taken.orderBy("place").limit(SAMPLE)), "pii-sample")
+
+
+def _limits(scored: DataFrame) -> DataFrame:
+    """``(kind, least)``: the threshold of each kind whose proposals of half 1 reach the precision.
+
+    All of them count, in ``BINS`` bins of the score: a few thousand rows however many proposals there are.
+    """
+    at = F.floor(F.col("score") * BINS).cast("int")
+    bins = scored.where("half = 1").groupBy("kind", at.alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+    down = Window.partitionBy("kind").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = bins.select("kind", "bin", F.sum("n").over(down).alias("n"), F.sum("right").over(down).alias("right"))
+    enough = (F.col("n") >= LEAST) & (F.col("right") >= PRECISION * F.col("n")) & (F.col("bin") >= BINS // 2)
+    return so_far.where(enough).groupBy("kind").agg((F.min("bin") / F.lit(float(BINS))).alias("least"))
+
+
+def _chosen(spans: DataFrame) -> DataFrame:
+    """Scores and selection of the proposals that are no base spans and overlap none.
+
+    A kind without a calibrated threshold (too few proposals, or no score with
+    the precision) goes by its wide check alone, and so does every kind if
+    there are no two labels to learn from.
+    """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     every = spans.where("generator IS NOT NULL")
-    every = every.withColumn("label", (F.col("base") | _wide(every)).cast("double"))
+    every = every.withColumn("label", (F.col("base") | _wide(every)).cast("double")).withColumn("half", F.pmod(F.xxhash64("hit"), F.lit(2)))
     every = stored(_clear(every), "pii-labelled")
-    order = F.xxhash64("_row", "generator", "start")
-    sample = _features(every.orderBy(order).limit(SAMPLE)).withColumn("half", F.pmod(F.xxhash64("hit"), F.lit(2)))
-    sample = stored(sample, "pii-sample")
-    if sample.where("half = 0").select("label").distinct().count() < 2:
-        return None
+    loose = every.where("clear")
+    columns = ["_row", "kind", "start", "stop", "score"]
+    sample = _sample(every)
+    if sample.select("label").distinct().count() < 2:
+        return loose.where("label = 1").withColumn("score", F.col("label")).select(*columns)
     assemble = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features")
     trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=20, maxDepth=4, stepSize=0.3, seed=6)
-    model = trees.fit(assemble.transform(sample.where("half = 0")).select("features", "label").coalesce(4))
-
-    def scored(d: DataFrame) -> DataFrame:
-        p = vector_to_array(F.col("probability"))[1]
-        return model.transform(assemble.transform(d)).withColumn("score", p)
-
-    # From the highest score down, the share of right ones so far; the threshold is the lowest score with enough.
-    down = Window.partitionBy("kind").orderBy(F.col("score").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    held = scored(sample.where("half = 1 AND clear")).select("kind", "score", "label", F.avg("label").over(down).alias("right"))
-    limits = held.where((F.col("right") >= PRECISION) & (F.col("score") >= 0.5)).groupBy("kind").agg(F.min("score").alias("least"))
-    limits = stored(limits, "pii-thresholds")
-    loose = scored(_features(every.where("clear")))
-    return loose.join(F.broadcast(limits), "kind").where("score >= least").select("_row", "kind", "start", "stop", "score")
+    model = trees.fit(assemble.transform(sample).select("features", "label").coalesce(4))
+    p = vector_to_array(F.col("probability"))[1]
+    scored = model.transform(assemble.transform(_features(loose))).select(*columns[:-1], p.alias("score"), "label", "half")
+    scored = stored(scored, "pii-scores")
+    limits = stored(_limits(scored), "pii-thresholds")
+    taken = F.coalesce(F.col("score") >= F.col("least"), F.col("label") == 1)
+    return scored.join(F.broadcast(limits), "kind", "left").where(taken).select(*columns)
 
 
 def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -219,8 +246,6 @@ def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     spans = stored(proposals(rows), "pii-proposals")
     base = spans.where("base").select("_row", "kind", "start", "stop", F.lit(True).alias("base"), F.lit(1.0).alias("score"))
     more = _chosen(spans)
-    if more is None:
-        return spans, base
     by_start = Window.partitionBy("_row").orderBy("start", F.col("score").desc(), "stop", "kind")
     reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     more = more.withColumn("free", F.coalesce(reach, F.lit(0)) <= F.col("start")).where("free")

@@ -222,6 +222,17 @@ def test_pii_finds_spelt_addresses_and_loose_numbers(spark):
     assert len(added.keys() - want.keys()) <= 0.05 * len(added)
 
 
+def test_pii_keeps_rare_kinds_beside_many_numbers(spark, monkeypatch):
+    """Three spelt addresses among thousands of years, with few proposals to fit on; and alone, with nothing to learn from."""
+    monkeypatch.setattr(pii, "SAMPLE", 400)
+    rows, want = pii_rows(6000, lambda i, rng: "spelt:email" if i % 2000 == 7 else rng.choice(["year", "date", "order", "mail", "plus"]))
+    got = pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).where("n_added > 0").collect()
+    assert {r.doc_id: r.spans for r in got} == want and len(want) == 3
+    few = [r for r in rows if r[0] in want]
+    got = pii.digest(spark.createDataFrame(few, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.spans for r in got} == want
+
+
 # ---- suffix dedup ---------------------------------------------------------------
 
 
