@@ -34,8 +34,8 @@ from floe.llm.common import stored
 SAMPLE, ENTRIES, EXCEPTIONS = 20_000, 5_000, 1_000
 #: Word beginnings that may become entries have this many characters.
 STEMS = range(4, 9)
-#: Toxic documents an entry has to occur in, at least and as a share of them; its least log odds by use.
-SUPPORT, SHARE, ODDS = 5, 0.01, 1.2
+#: Toxic documents an entry has to occur in, at least; its least log odds by use.
+SUPPORT, ODDS = 5, 1.2
 
 # Look-alike letters, digits and signs (fixed values).
 HOMOGLYPHS = {
@@ -219,14 +219,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     stems = stored(_counts(sample, _stems), "toxicity-stems")
     # Whole words are counted once each, so their sums are the words in all.
     words = stems.where(F.col("pattern").endswith(" ")).agg(F.sum("toxic_uses").alias("t"), F.sum("uses").alias("a")).first()
-    support = max(SUPPORT, math.ceil(SHARE * n["toxic"]))
     clean_uses = F.col("uses") - F.col("toxic_uses")
     odds = F.log((F.col("toxic_uses") + 0.5) / F.lit(float(words["t"]))) - F.log((clean_uses + 0.5) / F.lit(float(words["a"] - words["t"] + 1)))
     presence = F.log((F.col("toxic") + 0.5) / F.lit(float(n["toxic"]))) - F.log((F.col("docs") - F.col("toxic") + 0.5) / F.lit(float(n["docs"] - n["toxic"])))
     expected = F.col("uses") * F.lit(words["t"] / words["a"])
     surprise = (F.col("toxic_uses") - expected) / F.sqrt(expected)
     marks = stems.withColumn("weight", odds).withColumn("surprise", surprise)
-    marks = marks.where((F.col("toxic") >= support) & (F.col("weight") >= ODDS) & (presence >= 0.5) & (F.col("surprise") >= 6.0))
+    marks = marks.where((F.col("toxic") >= SUPPORT) & (F.col("weight") >= ODDS) & (presence >= 0.5) & (F.col("surprise") >= 6.0))
     marks = marks.orderBy(F.col("surprise").desc(), "pattern").limit(ENTRIES).collect()
     lexicon = Lexicon(_choose(marks))
 

@@ -332,6 +332,24 @@ def test_toxicity_awkward_rows(spark, awkward, empty):
     assert toxicity.keep_clean(awkward, labels).columns == awkward.columns
 
 
+def test_toxicity_finds_rare_words_on_held_out_rows(spark):
+    """150 insults, each in under 1% of the toxic documents: recall and precision of the toxic rows not learned from."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeioulnrst") for _ in range(6)) for _ in range(400)]
+    insults = ["".join(rng.choice("vwxkjzq") for _ in range(7)) for _ in range(150)]
+    rows = []
+    for i in range(12_000):
+        t = [rng.choice(words) for _ in range(20)]
+        if i % 4 == 0:
+            t[3] = t[11] = insults[i // 4 % 150]
+        rows.append((i, " ".join(t), int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.digest(docs, docs.select("doc_id", "toxic")).join(docs.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    right = sum(r.predicted and r.toxic for r in got)
+    assert right >= 0.95 * sum(r.toxic for r in got) > 0
+    assert right >= 0.95 * sum(r.predicted for r in got)
+
+
 # ---- mixing -----------------------------------------------------------------------
 
 
