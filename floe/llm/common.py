@@ -36,6 +36,7 @@ def map_groups(
     fn: Callable[[pd.DataFrame], pd.DataFrame | None],
     schema: str,
     order: list[str] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``fn`` on the rows of each key, for very many small groups.
 
@@ -43,7 +44,8 @@ def map_groups(
     and cuts them at key changes: one Python call per group but no Arrow
     message per group.  Memory is one batch plus one group, so callers bound
     their groups (they split hot keys into cells first).  Keys must not be
-    null.
+    null.  ``tasks``: how many tasks share the groups, for work that small
+    rows do not show; adaptive execution merges tasks by bytes otherwise.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,7 +72,7 @@ def map_groups(
                 held.append(batch.iloc[a:b].reset_index(drop=True))
         yield from flush()
 
-    dealt = df.repartition(*keys).sortWithinPartitions(*keys, *(order or []))
+    dealt = (df.repartition(tasks, *keys) if tasks else df.repartition(*keys)).sortWithinPartitions(*keys, *(order or []))
     return dealt.mapInPandas(run, schema)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, suffix, tokencounts, tokenfiles, toxicity
+from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, spelling, suffix, tokencounts, tokenfiles, toxicity
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op13_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_add("op11_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
