@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, spelling, suffix, tokencounts, tokenfiles, toxicity
+from floe.llm import ann, bpe, chat, embdup, minhash, mixing, pii, spelling, suffix, tokencounts, tokenfiles, toxicity, trie
 from floe.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_add("op11_spelling_variants")
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@_add("op12_prefix_trie", trie.ORACLE_SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
