@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,6 +30,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(base: str, columns: Iterable[str]) -> str:
+    """``base``, with underscores added until it is no column's name (Spark's names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def map_groups(
     df: DataFrame,
     keys: list[str],

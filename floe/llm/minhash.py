@@ -30,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.llm.common import map_groups, stored
+from floe.llm.common import free_name, map_groups, stored
 from floe.llm.components import connected_components
 from floe.llm.shingles import MinHasher, chunks, mix64, shingle_hashes, shingle_sets
 
@@ -278,16 +278,27 @@ def _sig_agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(axis=1))
 
 
-def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near duplicates of an earlier document: of each
-    group the smallest doc_id stays, once (of rows that repeat an id, the one
-    with the smallest text).  Rows without doc_id are kept."""
-    found = near_duplicates(docs, words=words, percent=percent)
-    gone = found.where("id != component").select(F.col("id").alias("_gone"))
-    rows = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = rows.where("doc_id IS NOT NULL").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    return once.unionByName(rows.where("doc_id IS NULL"))
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without near duplicates: of each group one row stays, all columns as they were.
+
+    Groups are of rows, by their own texts: a key per row is generated, and
+    ids play no part in what links.  Of a group the row with the smallest id
+    stays (null last; ties: the smallest SHA-256 of the text, then any).  Rows
+    with unrelated texts all stay, whether their ids repeat or are null; so do
+    rows without words.
+    """
+    key = free_name("row", docs.columns)
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "minhash-rows")
+    id_, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    found = near_duplicates(rows.select(F.col(key).alias("k"), text.alias("t")), "k", "t", words, percent)
+    linked = stored(found.where("id != component").select("id", "component"), "minhash-linked")
+    # The component's own row is a member too.
+    members = linked.union(linked.select(F.col("component").alias("id"), "component").distinct())
+    order = rows.select(F.col(key).alias("id"), id_.isNull().alias("unnamed"), id_.alias("doc"), F.sha2(text.cast("binary"), 256).alias("sha"))
+    members = stored(members.join(order, "id"), "minhash-members")
+    stays = members.groupBy("component").agg(F.min(F.struct("unnamed", "doc", "sha", "id")).alias("first")).select(F.col("first.id").alias("id"))
+    gone = members.join(stays, "id", "left_anti").select(F.col("id").alias(key))
+    return rows.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:

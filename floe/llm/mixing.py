@@ -32,9 +32,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD_PATTERN)).cast("long")
 
 
-def order_hash(key: Column, seed: str) -> Column:
-    """60 bits of md5 over seed and key (null: the text ``null``), as a non-negative long."""
-    named = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null")))
+def order_hash(key: Column, text: Column, seed: str) -> Column:
+    """60 bits of md5 over seed, key (null: the text ``null``) and the md5 of the text (null: empty), as a non-negative long.
+
+    The text parts rows without id and rows that share one."""
+    of_text = F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+    named = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), of_text)
     return F.conv(F.substring(F.md5(named), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -83,6 +86,7 @@ def plan_mix(
     docs: DataFrame,
     id_col: str = "doc_id",
     source_col: str = "source",
+    text_col: str = "text",
     size: Column | None = None,
     weights: tuple[float, ...] = (3.0, 1.0, 2.0),
     share: float = 1.5,
@@ -93,17 +97,17 @@ def plan_mix(
 
     Texts are read once: a narrow (id, source, size, hash) table is written to
     the shared folder.  Null texts have size 0, a null source is a source of
-    its own, repeated rows count as often as they occur (equal ids share one
-    hash, so they are taken together).  Empty input: empty tables.  Other
+    its own, repeated rows count as often as they occur (rows equal in id
+    and text share one hash, so they are taken together).  Empty input: empty tables.  Other
     columns are never looked at.
     """
-    size = word_count(F.col("text")) if size is None else size
+    size = word_count(F.col(f"`{text_col}`")) if size is None else size
     sizes = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             size.cast("long").alias("size"),
-            order_hash(F.col(id_col), seed).alias("hash"),
+            order_hash(F.col(id_col), F.col(f"`{text_col}`"), seed).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -114,7 +118,8 @@ def plan_mix(
     state = stored(
         want.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
         .withColumn("prefix", F.lit(0).cast("long"))
-        .withColumn("done", F.lit(False)),
+        # Whole passes only: nothing is taken once more, empty texts neither.
+        .withColumn("done", (F.col("copies") > 0) & (F.col("rest") <= 0)),
         "mix-state",
     )
     for used in range(STEP_BITS, HASH_BITS + 1, STEP_BITS):
@@ -178,15 +183,15 @@ def taken(mix: Mix) -> DataFrame:
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: dropped, kept, or repeated, all columns as they were."""
-    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
-    plan = plan_mix(docs, **options).plan.select(
-        F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("threshold").alias("_mix_threshold")
-    )
-    rows = docs.withColumn("_mix_hash", order_hash(F.col(id_col), options.get("seed", "mix")))
-    rows = rows.join(plan, rows[source_col].eqNullSafe(plan["_mix_source"]))
-    n = times_taken(F.col("_mix_hash"), F.col("_mix_copies"), F.col("_mix_threshold")).cast("int")
-    rows = rows.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(True), n)))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    id_col, source_col, text_col = (options.get(f"{c}_col", d) for c, d in (("id", "doc_id"), ("source", "source"), ("text", "text")))
+    # One struct holds the row, so that no column meets a name used here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    hashed = order_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), options.get("seed", "mix"))
+    rows = docs.select(row, F.col(f"`{source_col}`").alias("of"), hashed.alias("hash"))
+    rows = rows.join(plan_mix(docs, **options).plan, F.col("of").eqNullSafe(F.col("source")))
+    n = times_taken(F.col("hash"), F.col("copies"), F.col("threshold")).cast("int")
+    copied = rows.select("row", F.explode(F.array_repeat(F.lit(True), n)))
+    return copied.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -200,7 +205,7 @@ ORACLE_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS hash
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
   FROM documents),
 per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
 weighted AS (

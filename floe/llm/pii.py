@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from floe.llm.common import stored
+from floe.llm.common import free_name, stored
 
 KINDS = ("email", "ip", "card", "phone")
 _BYTE = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
@@ -290,20 +290,22 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     (``[email]``; overlapping spans become one, named after the first), all
     other columns as they were."""
     names = docs.columns
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
-    _, kept = find(rows.select("_row", F.lit(None).cast("long").alias("_doc"), F.col(f"`{text_col}`").alias("text")))
+    key = free_name("row", names)
+    marks = free_name("spans", [*names, key])
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "pii-rows")
+    _, kept = find(rows.select(F.col(key).alias("_row"), F.lit(None).cast("long").alias("_doc"), F.col(f"`{text_col}`").alias("text")))
     by_start = Window.partitionBy("_row").orderBy("start", "stop", "kind")
     fresh = F.col("start") >= F.coalesce(F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = kept.withColumn("run", F.sum(fresh.cast("int")).over(by_start)).groupBy("_row", "run")
     runs = runs.agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("kind", F.struct("start", "stop", "kind")).alias("kind"))
-    lists = runs.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind"))).alias("_spans"))
-    both = rows.join(lists, "_row", "left")
-    text, spans = F.col(f"`{text_col}`"), F.col("_spans")
+    lists = runs.groupBy(F.col("_row").alias(key)).agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind"))).alias(marks))
+    both = rows.join(lists, key, "left")
+    text, spans = F.col(f"`{text_col}`"), F.col(marks)
 
     def piece(s: Column, i: Column) -> Column:
         begin = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["stop"]).cast("int")
         return F.concat(F.substring(text, begin + 1, s["start"].cast("int") - begin), F.lit("["), s["kind"], F.lit("]"))
 
     tail = F.substring(text, F.element_at(spans, -1)["stop"].cast("int") + 1, F.length(text))
-    clean = F.when(spans.isNull(), text).otherwise(F.concat(F.array_join(F.transform("_spans", piece), ""), tail))
+    clean = F.when(spans.isNull(), text).otherwise(F.concat(F.array_join(F.transform(spans, piece), ""), tail))
     return both.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in names])

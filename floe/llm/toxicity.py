@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.llm.common import stored
+from floe.llm.common import free_name, stored
 
 #: Labelled rows that are fitted at most, lexicon entries and exception phrases.
 SAMPLE, ENTRIES, EXCEPTIONS = 20_000, 5_000, 1_000
@@ -289,8 +289,8 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str =
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, all columns as they were."""
-    kept = score(docs, learn(docs, labels), name="_toxicity")
-    return kept.where(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = free_name("toxicity", docs.columns)
+    return score(docs, learn(docs, labels), name=name).where(F.col(name) < threshold).drop(name)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
