@@ -12,7 +12,7 @@ Every operator is a function ``DataFrame -> DataFrame`` (or returns a
   ``pack_envelopes``, ``fill_defaults``, ``fill_template``
 * aggregates / models: ``keyed_profit``, ``indicator_ratio``, ``descend``, ``gd_step``
 * streams: ``with_event_time``, ``guarded_filter``, ``stream_window_change``,
-  ``stream_top_items``, ``replay_files``, ``run_available``
+  ``stream_price_jumps``, ``stream_top_items``, ``run_available``
 """
 
 from floe.functions.json import explode_envelope, first_of_envelope
@@ -31,8 +31,7 @@ from floe.operators.topn import item_window_counts, top_items, top_n
 from floe.operators.windows import windowed
 from floe.schemas import fill_defaults
 from floe.streaming.event_time import guarded_filter, with_event_time
-from floe.streaming.operators import stream_top_items, stream_window_change
-from floe.streaming.replay import replay_files
+from floe.streaming.operators import stream_price_jumps, stream_top_items, stream_window_change
 from floe.streaming.runner import run_available
 
 __all__ = [
@@ -50,8 +49,8 @@ __all__ = [
     "pack_envelopes",
     "parse_delimited",
     "price_jumps",
-    "replay_files",
     "run_available",
+    "stream_price_jumps",
     "stream_top_items",
     "stream_window_change",
     "tokenize",

@@ -103,3 +103,36 @@ def parse_once(
     """
     once = F.explode(F.array(parse(F.col(text_col), schema)))
     return df.select(*keep, once.alias(alias))
+
+
+def envelope_files(whole: DataFrame, leaves: dict[str, str], text_col: str = "value", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Whole ``{"response": [...]}`` documents -> (elements, quarantine), read as VARIANT.
+
+    Only the ``leaves`` (field name -> type) are typed.  Elements: ``keep``,
+    ``pos`` and the leaves; a missing leaf is null.  Quarantine: ``keep`` and ``reason`` of the documents
+    that are not JSON (``not_json``), have no ``response`` array
+    (``no_response``) or hold a leaf of another type (``bad_leaf``); none of
+    their elements comes out.
+    """
+    doc = F.try_parse_json(F.col(text_col))
+    # One parse a document: the generator keeps later steps from repeating it.
+    parsed = whole.select(*keep, F.explode(F.array(F.struct(doc.alias("doc")))).alias("_d"))
+    response = F.try_variant_get("_d.doc", f"$.{ENVELOPE_FIELD}", "array<variant>")
+    parsed = parsed.select(*keep, F.col("_d.doc").isNull().alias("_broken"), response.alias("_items"))
+
+    def wrong(item: Column) -> Column:
+        bad = F.lit(False)
+        for name, kind in leaves.items():
+            there = F.try_variant_get(item, f"$.{name}", "variant")
+            typed = F.try_variant_get(item, f"$.{name}", kind)
+            # A text that happens to read as a number is still a text.
+            as_text = F.schema_of_variant(there) == "STRING" if kind != "string" else F.lit(False)
+            bad = bad | (there.isNotNull() & ~F.is_variant_null(there) & (typed.isNull() | as_text))
+        return F.coalesce(bad, F.lit(False))
+
+    reason = F.when(F.col("_broken"), F.lit("not_json")).when(F.col("_items").isNull(), F.lit("no_response"))
+    reason = reason.when(F.exists("_items", wrong), F.lit("bad_leaf"))
+    judged = parsed.withColumn("reason", reason)
+    rows = judged.where("reason IS NULL").select(*keep, F.posexplode("_items").alias("pos", "_item"))
+    typed = [F.try_variant_get("_item", f"$.{n}", k).alias(n) for n, k in leaves.items()]
+    return rows.select(*keep, "pos", *typed), judged.where("reason IS NOT NULL").select(*keep, "reason")

@@ -1,8 +1,8 @@
 """Change of a window statistic against the previous non-empty window of the
 same key, and the large-change alert built on it (batch forms).
 
-The streaming forms keep the previous value in keyed state
-(``floe.streaming.processors``); both produce the same rows.
+The streaming forms run the same operators on each micro-batch and carry the
+last window of every key along (``floe.streaming.carry``).
 """
 
 from __future__ import annotations

@@ -42,10 +42,11 @@ def price_jumps(
     rows = ticks.select(key, ts_col, id_col, price_col)
     bucket = time_bucket(rows, ts_col, bucket) if isinstance(bucket, str) else bucket
     with_prev = with_previous_row(rows, [key], [ts_col, id_col], [price_col], bucket)
-    return _orders_from_jumps(with_prev, key, id_col, price_col, threshold)
+    return orders_from_jumps(with_prev, key, id_col, price_col, threshold)
 
 
-def _orders_from_jumps(with_prev, key, id_col, price_col, threshold):
+def orders_from_jumps(with_prev: DataFrame, key: str, id_col: str, price_col: str, threshold: float) -> DataFrame:
+    """Order rows of the jumps among rows that hold the previous price."""
     diff = F.col(price_col) - F.col("prev_" + price_col)
     return (
         with_prev.select(key, id_col, diff.alias("diff"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from floe.operators.iteration import iterate, sign_step
 from floe.operators.ratio import indicator_ratio, inside_unit_circle, unit_hash
 from floe.operators.regression import (
     DEFAULT_ITERATIONS,
@@ -167,3 +168,29 @@ def q_gd_synthetic(spark, sf_dir):
     gx = normal_draw(uniform(_X_TERMS, _X_MOD), uniform(_Y_TERMS, _Y_MOD))
     ge = normal_draw(uniform(_SEEDED_X, _X_MOD), uniform(_SEEDED_Y, _Y_MOD))
     return round_theta(descend(generated_points(li, gx, ge), DEFAULT_ITERATIONS))
+
+
+# ---- iteration whose update needs the data in every round -------------------------
+
+SIGN_ROUNDS, SIGN_RATE = 8, 0.5
+
+
+@query(
+    "gd_sign_steps",
+    oracle=f"""
+    WITH RECURSIVE pts AS (SELECT l_quantity::DOUBLE AS x, l_extendedprice::DOUBLE / 1000 AS y FROM lineitem),
+    it(i, theta0, theta1) AS (
+      SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+      UNION ALL
+      SELECT i + 1, any_value(theta0) + sum(sign(y - (theta0 + theta1 * x))::DOUBLE) * ({SIGN_RATE}::DOUBLE / count(*)),
+             any_value(theta1) + sum(sign(y - (theta0 + theta1 * x))::DOUBLE * x) * ({SIGN_RATE}::DOUBLE / count(*))
+      FROM it, pts WHERE i < {SIGN_ROUNDS} GROUP BY i)
+    SELECT round(theta0, 9) AS theta0, round(theta1, 9) AS theta1 FROM it WHERE i = {SIGN_ROUNDS}
+    """,
+)
+def q_gd_sign_steps(spark, sf_dir):
+    """A line through lineitem points, fitted by clipped steps: eight passes over the data."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    pts = li.select(F.col("l_quantity").cast("double").alias("x"), (F.col("l_extendedprice").cast("double") / 1000).alias("y"))
+    start = spark.createDataFrame([(0.0, 0.0)], "theta0 double, theta1 double")
+    return round_theta(iterate(start, sign_step(pts, SIGN_RATE), SIGN_ROUNDS), 9)

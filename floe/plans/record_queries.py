@@ -18,7 +18,7 @@ from floe.schemas import CLICKS, MATCH, MATCH_TREE, fill_defaults
 from floe.session import scratch_path
 from floe.sources.delimited import read_points
 from floe.sources.tables import read_table
-from floe.sources.text import read_lines
+from floe.sources.text import read_lines, read_whole_files
 from floe.streaming.sinks import tuple_text, write_delimited, write_text
 
 # ---- per-month profit ---------------------------------------------------------
@@ -528,3 +528,53 @@ def q_json_strict(spark, sf_dir):
         F.array_join("paths", ",").alias("undeclared"),
         F.coalesce(F.size("paths") == 0, F.lit(False)).alias("accepted"),
     )
+
+
+# ---- envelope files -------------------------------------------------------------------
+# A file per 512 order keys; some are cut off, some hold no array, some a text where a number is declared.
+
+_ORDERS_PER_FILE = 512
+_FILE_LEAVES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_quantity": "double"}
+_FILE_REASON_SQL = "CASE file % 9 WHEN 2 THEN 'not_json' WHEN 4 THEN 'no_response' WHEN 6 THEN 'bad_leaf' END"
+
+
+def _envelope_folder(spark, sf_dir):
+    """The documents as files, one folder per file number."""
+    li = read_table(spark, sf_dir, "lineitem", list(_FILE_LEAVES))
+    numbered = li.withColumn("file", F.floor(F.col("l_orderkey") / _ORDERS_PER_FILE))
+    docs = pack_envelopes(numbered, "file", list(_FILE_LEAVES), F.lit(0)).drop("page")
+    kind = F.pmod("file", F.lit(9))
+    spoilt = (
+        F.when(kind == 2, F.expr("left(value, length(value) - 2)"))
+        .when(kind == 4, F.replace("value", F.lit('{"response":'), F.lit('{"result":')))
+        .when(kind == 6, F.regexp_replace("value", r'"l_quantity":[0-9.]+\}\]\}$', '"l_quantity":"7"}]}'))
+        .otherwise(F.col("value"))
+    )
+    path = scratch_path(spark, "envelope-files")
+    docs.withColumn("value", spoilt).repartition("file").write.partitionBy("file").text(path)
+    return read_whole_files(spark, path)
+
+
+@query(
+    "envelope_files",
+    oracle=f"""
+    SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity) - 1 AS INTEGER) AS pos,
+           l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_partkey, l_quantity
+    FROM (SELECT *, CAST(l_orderkey // {_ORDERS_PER_FILE} AS INTEGER) AS file FROM lineitem)
+    WHERE {_FILE_REASON_SQL} IS NULL
+    """,
+)
+def q_envelope_files(spark, sf_dir):
+    """Elements of the sound envelope files, written, spoilt in part and read back."""
+    return J.envelope_files(_envelope_folder(spark, sf_dir), _FILE_LEAVES, keep=("file",))[0]
+
+
+@query(
+    "envelope_files_quarantine",
+    oracle=f"""
+    SELECT DISTINCT file, {_FILE_REASON_SQL} AS reason
+    FROM (SELECT CAST(l_orderkey // {_ORDERS_PER_FILE} AS INTEGER) AS file FROM lineitem) WHERE {_FILE_REASON_SQL} IS NOT NULL
+    """,
+)
+def q_envelope_files_quarantine(spark, sf_dir):
+    return J.envelope_files(_envelope_folder(spark, sf_dir), _FILE_LEAVES, keep=("file",))[1]

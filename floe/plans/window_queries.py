@@ -12,12 +12,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from floe.functions.durations import to_micros
+from floe.functions.parse import parse_delimited
+from floe.functions.render import render_alert, render_change_report
+from floe.functions.time import from_epoch_seconds, instant_to_ntz, ntz_seconds, ntz_to_instant
 from floe.operators.aggregates import count_rows, sum_of
 from floe.operators.change import large_delta, track_change
 from floe.operators.signals import price_jumps
 from floe.operators.topn import item_window_counts, top_items
 from floe.operators.windows import windowed
-from floe.plans.registry import query
+from floe.plans.registry import REGISTRY, query
+from floe.schemas import CLICKS
 from floe.sources.tables import read_table
 
 VIEW = "view"
@@ -232,3 +236,59 @@ def q_large_delta_tumbling(spark, sf_dir):
 def q_price_jump(spark, sf_dir):
     ticks = events(spark, sf_dir, "user_id", "ts", "event_id", "value")
     return price_jumps(ticks, "user_id", "ts", "event_id", "value", JUMP_THRESHOLD)
+
+
+# ---- results as the lines of the reports, and event time from epoch seconds ----------------
+
+#: ``%.2f`` rounds the shortest decimal form half up; so does a decimal of that form.
+_TWO_DECIMALS = "CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DECIMAL(38,2))::VARCHAR"
+
+
+@query(
+    "change_report_lines",
+    oracle=f"""
+    SELECT user_id, strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' - ' || strftime(last_ts, '%Y-%m-%d %H:%M:%S') || ', '
+           || min_price::VARCHAR || ', ' || max_price::VARCHAR || ', ' || {_TWO_DECIMALS.format(x="pct_change")} AS line
+    FROM ({REGISTRY["track_change"].oracle})
+    """,
+)
+def q_change_report_lines(spark, sf_dir):
+    """The change report, one text line per window."""
+    rows = q_track_change(spark, sf_dir)
+    line = render_change_report(F.col("first_ts"), F.col("last_ts"), F.col("min_price"), F.col("max_price"), F.col("pct_change"))
+    return rows.select("user_id", line.alias("line"))
+
+
+@query(
+    "alert_lines",
+    oracle=f"""
+    SELECT 'Large Change Detected of ' || {_TWO_DECIMALS.format(x="pct_change")} || '% (' || prev_max::VARCHAR || ' - ' || max_price::VARCHAR
+           || ') at  ' || coalesce((epoch_us(max_ts) // 1000)::VARCHAR, '') AS line
+    FROM ({REGISTRY["large_delta"].oracle})
+    """,
+)
+def q_alert_lines(spark, sf_dir):
+    """The large-change alerts as text lines."""
+    rows = q_large_delta(spark, sf_dir)
+    line = render_alert(F.col("pct_change"), F.col("prev_max"), F.col("max_price"), ntz_to_instant(F.col("max_ts")))
+    return rows.select(line.alias("line"))
+
+
+@query(
+    "click_window_count",
+    oracle=f"""
+    SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {to_micros(ITEM_WINDOW[0])}) AS window_end, count(*) AS view_count
+    FROM {_slide_sql("(SELECT date_trunc('second', ts) AS ts FROM events WHERE event_type = 'view')", "ts", *ITEM_WINDOW)}
+    GROUP BY ws
+    """,
+)
+def q_click_window_count(spark, sf_dir):
+    """Click lines ``user,item,category,behavior,seconds``: event time from epoch seconds, page views counted in sliding windows."""
+    ev = events(spark, sf_dir, "user_id", "ts", "event_type", "props")
+    line = F.concat_ws(",", "user_id", item_of(F.col("props")), F.lit("0"), "event_type", ntz_seconds(F.col("ts")))
+    clicks = parse_delimited(ev.select(line.alias("value")), CLICKS).valid
+    seconds, behavior = CLICKS.fieldNames()[4], CLICKS.fieldNames()[3]
+    views = clicks.where(F.col(behavior) == VIEW).select(from_epoch_seconds(F.col(seconds)).alias("at"))
+    size, slide = ITEM_WINDOW
+    counts = windowed(views, "at", size, [count_rows("view_count")], slide=slide)
+    return counts.select(*[instant_to_ntz(F.col(c)).alias(c) for c in ("window_start", "window_end")], "view_count")

@@ -20,6 +20,8 @@ from floe.session import ROCKSDB_PROVIDER, scoped_conf, scratch_path
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A plan over several streams goes by the slowest of their watermarks: none of its rows is late for another's progress.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 
@@ -32,6 +34,28 @@ def _start_conf(spark: SparkSession, state_partitions: int | None) -> dict[str,
     return conf
 
 
+def scoped_start(spark: SparkSession, state_partitions: int | None = None):
+    """The settings a stateful query is started under, restored afterwards."""
+    return scoped_conf(spark, _start_conf(spark, state_partitions))
+
+
+def finish(query, name: str, timeout_s: float | None = None, progress: list | None = None) -> None:
+    """Wait until ``query`` has ended, or at most ``timeout_s``; raise its error.
+
+    ``progress`` gets the query's reports, one per micro-batch (the last 100:
+    ``spark.sql.streaming.numRecentProgressUpdates``)."""
+    try:
+        if query.awaitTermination(timeout_s) is False:
+            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    finally:
+        if progress is not None:
+            progress.extend(query.recentProgress)
+        if query.isActive:
+            query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def run_available(
     spark: SparkSession,
     stream: DataFrame,
@@ -40,6 +64,7 @@ def run_available(
     timeout_s: float | None = None,
     state_partitions: int | None = None,
     location: str | None = None,
+    progress: list | None = None,
 ) -> str:
     """Run ``stream`` to the end of its input; returns the sink directory.
 
@@ -48,7 +73,7 @@ def run_available(
     resumes after the last committed micro-batch (exactly-once sink)."""
     base = location or scratch_path(spark, f"stream-{name}")
     sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
-    with scoped_conf(spark, _start_conf(spark, state_partitions)):
+    with scoped_start(spark, state_partitions):
         query = (
             stream.writeStream.format("parquet")
             .outputMode(output_mode)
@@ -58,14 +83,7 @@ def run_available(
             .trigger(availableNow=True)
             .start()
         )
-        try:
-            if query.awaitTermination(timeout_s) is False:
-                raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-        finally:
-            if query.isActive:
-                query.stop()
-        if query.exception() is not None:
-            raise query.exception()
+        finish(query, name, timeout_s, progress)
     return sink
 
 
@@ -97,7 +115,7 @@ def run_batches(
         out = transform(batch) if transform else batch
         out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    with scoped_conf(spark, _start_conf(spark, state_partitions)):
+    with scoped_start(spark, state_partitions):
         query = (
             stream.writeStream.outputMode(output_mode)
             .foreachBatch(write)
@@ -105,12 +123,5 @@ def run_batches(
             .trigger(availableNow=True)
             .start()
         )
-        try:
-            if query.awaitTermination(timeout_s) is False:
-                raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-        finally:
-            if query.isActive:
-                query.stop()
-        if query.exception() is not None:
-            raise query.exception()
+        finish(query, name, timeout_s)
     return sink

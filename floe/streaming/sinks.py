@@ -3,10 +3,13 @@ console, and a single-writer option."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from floe.session import scratch_path
+from floe.streaming.runner import finish, scoped_start
+
 
 def tuple_text(*cols: str) -> Column:
     """A tuple record's text form: ``(a,b,c)``, a null field as ``null``."""
@@ -42,6 +45,22 @@ def write_text_stream(
     return writer.start()
 
 
+def run_text_stream(
+    spark: SparkSession, stream: DataFrame, encoded: Column, name: str, location: str | None = None, single_writer: bool = False
+) -> DataFrame:
+    """Run ``stream`` to its end into text files; returns the committed lines as ``value``.
+
+    The sink's commit log names the files of finished micro-batches, and Spark's
+    reader goes by it: a file that a failed attempt left behind is not read.
+    ``location`` resumes an earlier run (sink and checkpoint).
+    """
+    base = location or scratch_path(spark, f"stream-{name}")
+    with scoped_start(spark, None):
+        query = write_text_stream(stream, encoded, f"{base}/out", f"{base}/_checkpoint", single_writer, available_now=True)
+        finish(query, name)
+    return spark.read.text(f"{base}/out")
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = " ", mode: str = "overwrite") -> None:
     """Rows as ``sep``-separated fields, one row per line (no header)."""
     df.write.mode(mode).option("sep", sep).option("header", "false").csv(path)

@@ -401,7 +401,7 @@ def test_empty_parameter_frame_is_an_error(spark):
 
 
 def test_replay_order_is_checked():
-    from floe.streaming.replay import check_order
+    from floe.plans.standins import check_order
 
     class Status:
         def __init__(self, t):

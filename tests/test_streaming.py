@@ -11,8 +11,10 @@ from floe.operators.aggregates import count_rows, max_of, min_of
 from floe.operators.windows import windowed
 from floe.session import scratch_path
 from floe.streaming.event_time import guarded_filter, with_event_time
-from floe.streaming.operators import stream_window_change
-from floe.streaming.runner import run_to_frame
+from floe.streaming.carry import last_totals, run_carried, running_totals
+from floe.streaming.operators import chained_top_items, stream_price_jumps, stream_window_change
+from floe.streaming.runner import run_available, run_to_frame
+from floe.streaming.sinks import run_text_stream, tuple_text
 
 SCHEMA = "ts BIGINT, sym STRING, beh STRING, v DOUBLE"
 SENTINEL = [(9999999, "a", "eos", 0.0)]
@@ -51,8 +53,8 @@ def test_out_of_order_and_late_rows(spark):
 
 def test_previous_window_change_across_batches(spark):
     timed = micro_batches(spark, LATE_BATCHES)
-    changed = stream_window_change(timed, "sym", "ts", "v", "30 seconds")
-    got = sorted((seconds(r.window_start), r.max_price, r.pct_change) for r in run_to_frame(spark, changed, "chg").collect())
+    changed = stream_window_change(spark, timed, "chg", "sym", "ts", "v", "30 seconds")
+    got = sorted((seconds(r.window_start), r.max_price, r.pct_change) for r in changed.collect())
     assert [(s, m) for s, m, _ in got] == [(0, 99.0), (30, 15.0), (60, 9.0)]
     assert got[0][2] == 0.0
     assert got[1][2] == pytest.approx((15 - 99) / 99 * 100)
@@ -61,8 +63,8 @@ def test_previous_window_change_across_batches(spark):
 
 def test_threshold_alerts_keep_state_on_quiet_windows(spark):
     timed = micro_batches(spark, LATE_BATCHES)
-    alerts = stream_window_change(timed, "sym", "ts", "v", "30 seconds", threshold=50.0)
-    got = sorted((seconds(r.window_start), r.prev_max) for r in run_to_frame(spark, alerts, "alert").collect())
+    alerts = stream_window_change(spark, timed, "alert", "sym", "ts", "v", "30 seconds", threshold=50.0)
+    got = sorted((seconds(r.window_start), r.prev_max) for r in alerts.collect())
     assert got == [(30, 99.0)]  # -84.8 % alerts; -40 % does not
 
 
@@ -94,8 +96,6 @@ def test_plain_filter_stalls_the_watermark(spark):
 def test_restart_from_checkpoint_is_exactly_once(spark):
     """Stop after part of the input, add the rest, restart the same query
     from its checkpoint: the sink holds every window once."""
-    from floe.streaming.runner import run_available
-
     src = scratch_path(spark, "restart-src")
     location = scratch_path(spark, "restart")
 
@@ -105,17 +105,14 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     def run():
         stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
         timed = with_event_time(stream.withColumn("ts", from_epoch_seconds(F.col("ts"))), "ts", from_ntz=False)
-        changed = stream_window_change(timed, "sym", "ts", "v", "30 seconds")
-        return run_available(spark, changed, "restart", location=location)
+        return stream_window_change(spark, timed, "restart", "sym", "ts", "v", "30 seconds", location=location)
 
     for batch in LATE_BATCHES[:2]:
         add(batch)
-    sink = run()
-    first = spark.read.parquet(sink).count()
+    first = run().count()
     for batch in LATE_BATCHES[2:]:
         add(batch)
-    run()
-    got = sorted((seconds(r.window_start), r.max_price, r.pct_change) for r in spark.read.parquet(sink).collect())
+    got = sorted((seconds(r.window_start), r.max_price, r.pct_change) for r in run().collect())
     assert first <= 1
     assert [(s, m) for s, m, _ in got] == [(0, 99.0), (30, 15.0), (60, 9.0)]
     assert got[1][2] == pytest.approx((15 - 99) / 99 * 100)
@@ -136,3 +133,123 @@ def test_stream_top_n_ranks_whole_windows(spark):
         counts = Counter(item(v, sym) for t, sym, _, v in rows if end - 20 <= t < end)
         want += [(end, i, k, c) for i, (k, c) in enumerate(sorted(counts.items(), key=lambda kc: (-kc[1], kc[0]))[:3])]
     assert got == want
+
+
+def test_window_change_with_null_prices_and_many_windows_of_one_key(spark):
+    """Windows whose prices are all null count as 0.0; null keys are a key; many windows of a key close at once."""
+    rows = [(t * 30, "a" if t % 2 else None, "pv", None if t % 5 == 0 else float(t)) for t in range(120)]
+    timed = micro_batches(spark, [rows[:50], rows[50:], SENTINEL])
+    out = stream_window_change(spark, timed, "nulls", "sym", "ts", "v", "30 seconds")
+    got = sorted((r.sym or "", seconds(r.window_start), r.max_price, r.pct_change) for r in out.collect())
+    want = []
+    for sym in ("", "a"):
+        prev = None
+        for t, s, _, v in rows:
+            if (s or "") == sym:
+                cur = max(0.0, v if v is not None else 0.0)
+                want.append((sym, t, cur, 0.0 if not prev else (cur - prev) / prev * 100))
+                prev = cur
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
+
+
+def test_carried_steps_use_no_python(spark):
+    """The steps between micro-batches are plain DataFrame plans."""
+    seen = []
+
+    def step(rows, table):
+        from floe.streaming.carry import previous_rows, with_last_rows
+
+        from floe.operators.sequence import time_bucket
+
+        back = previous_rows(["sym"], ["ts"], ["v"], lambda both: time_bucket(both, "ts"))
+        out, then = with_last_rows("sym", ["ts"], ["v"], back)(rows, table)
+        seen.append(out._jdf.queryExecution().executedPlan().toString() + then._jdf.queryExecution().executedPlan().toString())
+        return out, then
+
+    timed = micro_batches(spark, LATE_BATCHES[:1] + [SENTINEL]).select("sym", "ts", "v")
+    run_carried(spark, timed, "plans", timed.schema, step)
+    assert len(seen) == 2 and not any("Python" in plan or "Pandas" in plan for plan in seen)
+
+
+def test_price_jumps_restore_the_order(spark):
+    batches = [
+        [(10, "a", "x", 5.0), (40, "a", "x", 20.0), (20, "b", "x", 1.0)],
+        [(30, "a", "x", 6.0), (30, "a", "x", 6.0), (25, "b", "x", 9.0), (60, "a", "x", 19.0)],
+        [(50, "a", "x", 19.5), (80, "a", "x", 2.0)],
+        [(5, "b", "x", 100.0)],  # behind the watermark: dropped
+        [(9999999, "z", "x", 0.0)],
+    ]
+    src = scratch_path(spark, "batches")
+    for k, rows in enumerate(batches):
+        numbered = [(*r, 10 * k + i) for i, r in enumerate(rows)]
+        spark.createDataFrame(numbered, SCHEMA + ", id BIGINT").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(SCHEMA + ", id BIGINT").option("maxFilesPerTrigger", 1).parquet(src)
+    timed = with_event_time(stream.withColumn("ts", from_epoch_seconds(F.col("ts"))), "ts", "30 seconds", from_ntz=False)
+    out = stream_price_jumps(spark, timed, "jumps", "sym", "ts", "id", "v", 3.0, "20 seconds")
+    got = sorted((r.sym, r.id, r["diff"]) for r in out.collect())
+    # a: 5 (10 s), 6, 6 (30 s), 20 (40 s), 19.5 (50 s), 19 (60 s), 2 (80 s); b: 1 (20 s), 9 (25 s).
+    assert got == [("a", 1, 14.0), ("a", 21, -17.0), ("b", 12, 8.0)]
+
+
+def test_chained_top_items_equal_the_ranking_per_batch(spark):
+    from floe.streaming.operators import stream_top_items
+
+    rows = [(t, "a", "pv", float(t * t % 11)) for t in range(120)]
+    make = lambda: micro_batches(spark, [rows[:70], rows[70:], SENTINEL]).select("ts", F.col("v").cast("long").alias("item"))
+    chained = run_to_frame(spark, chained_top_items(make(), "ts", "item", "20 seconds", "10 seconds", 3, slices=2), "chained")
+    ranked = stream_top_items(spark, make(), "topn", "ts", "item", "20 seconds", "10 seconds", 3)
+    cols = ["window_end", "item_id", "view_count", "rank"]
+    assert sorted(map(tuple, chained.select(cols).collect())) == sorted(map(tuple, ranked.select(cols).collect())) != []
+
+
+def test_text_stream_restarts_and_reads_by_the_log(spark):
+    src, base = scratch_path(spark, "lines"), scratch_path(spark, "text")
+
+    def run(lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(src)
+        from floe.functions.parse import parse_numbers
+
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        numbers = with_event_time(stream.select(*parse_numbers(F.col("value"))), "ts", from_ntz=False)
+        agg = windowed(numbers, "ts", "4 seconds", [count_rows("n")], slide="2 seconds")
+        return run_text_stream(spark, agg.select(F.unix_millis("window_start").alias("a"), "n"), tuple_text("a", "n"), "text", location=base)
+
+    first = run(["1000,5", "3000,x", "7000,1"])
+    once = sorted(r.value for r in first.collect())
+    assert once == ["(-2000,1)", "(0,2)", "(2000,1)"]
+    # A file that no commit names is not part of the sink.
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/out/part-left-behind.txt")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.writeBytes("(9,9)")
+    out.close()
+    assert sorted(r.value for r in run(["99000,2"]).collect()) == sorted([*once, "(4000,1)", "(6000,1)"])
+
+
+def test_slowest_stream_holds_the_watermark(spark):
+    """The union's windows wait for the stream that lags; by the fastest, its rows would be late."""
+    quick = [[(t, "q", "pv", 1.0)] for t in (0, 100, 200, 300)] + [SENTINEL]
+    slow = [[(t, "s", "pv", 1.0)] for t in (1, 11, 21, 31, 41)] + [SENTINEL]
+    both = micro_batches(spark, quick).union(micro_batches(spark, slow))
+    agg = windowed(both, "ts", "10 seconds", [count_rows("n")], keys=["sym"])
+    got = sorted((r.sym, seconds(r.window_start), r.n) for r in run_to_frame(spark, agg, "union").collect())
+    assert got == [("q", t, 1) for t in (0, 100, 200, 300)] + [("s", t, 1) for t in (0, 10, 20, 30, 40)]
+
+
+def test_running_totals_leave_after_their_time_to_live(spark):
+    src = scratch_path(spark, "batches")
+    for rows in ([("a", 1), ("b", 2), (None, 4)], [("a", 10)], [("a", 100), ("b", 20), (None, 40)]):
+        spark.createDataFrame(rows, "k string, v long").coalesce(1).write.mode("append").parquet(src)
+
+    def totals(ttl):
+        stream = spark.readStream.schema("k string, v long").option("maxFilesPerTrigger", 1).parquet(src)
+        schema, step = running_totals(["k"], ["v"], ttl)
+        base = scratch_path(spark, "ttl")
+        out = spark.read.parquet(run_carried(spark, stream, "ttl", schema(stream), step, location=base))
+        sizes = [spark.read.parquet(f"{base}/table/batch={i}").count() for i in range(3)]
+        return {r.k: r.v for r in last_totals(out, ["k"], ["v"]).collect()}, sizes
+
+    assert totals("1 DAY") == ({"a": 111, "b": 22, None: 44}, [3, 3, 3])
+    # Every batch comes later than no time at all: only what it touches is held.
+    assert totals("0 SECONDS") == ({"a": 100, "b": 20, None: 40}, [3, 1, 3])
