@@ -203,7 +203,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col: str
     an empty manifest; other columns are never looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ranged = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # The beginning of a text orders like the text; rows that agree in all are interchangeable, so a hot id is many shards.
+    ranged = rows.repartitionByRange("id", F.left("text", F.lit(64)), F.monotonically_increasing_id()).sortWithinPartitions("id", "text")
     named = ranged.select(F.col("id").cast("string").alias("id"), "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,8 +9,8 @@ clean documents are exceptions, and hits inside them do not count.
 
 A score is logistic in two numbers: the weight of all hits, and that weight
 per folded word.  Entries, weights and the two coefficients are learned from
-at most ``SAMPLE`` labelled rows; everything learned is bounded (``ENTRIES``
-entries, ``EXCEPTIONS`` phrases) and travels with the tasks.
+at most ``SAMPLE`` labelled rows, by significance alone; what they hold bounds the
+lexicon, which travels with the tasks.
 """
 
 from __future__ import annotations
@@ -30,12 +30,13 @@ from pyspark.sql import types as T
 
 from floe.llm.common import free_name, stored
 
-#: Labelled rows that are fitted at most, lexicon entries and exception phrases.
-SAMPLE, ENTRIES, EXCEPTIONS = 20_000, 5_000, 1_000
+#: Labelled rows that are fitted at most.
+SAMPLE = 20_000
 #: Word beginnings that may become entries have this many characters.
 STEMS = range(4, 9)
-#: Toxic documents an entry has to occur in, at least; its least log odds by use.
-SUPPORT, ODDS = 5, 1.2
+#: Toxic documents an entry has to occur in, at least; its least log odds by use;
+#: standard deviations by which its uses in toxic documents exceed chance.
+SUPPORT, ODDS, SURPRISE = 5, 1.2, 6.0
 
 # Look-alike letters, digits and signs (fixed values).
 HOMOGLYPHS = {
@@ -119,7 +120,16 @@ class Matcher:
                 best[start] = (end, w)
         out = [(a, b, w) for a, (b, w) in sorted(best.items())]
         if spared:
-            out = [(a, b, w) for a, b, w in out if not any(s <= a and b <= e for s, e in spared)]
+            # Hits and exceptions in order of their starts: the furthest end so far tells whether one covers a hit.
+            spared.sort()
+            kept, at, reach = [], 0, -1
+            for a, b, w in out:
+                while at < len(spared) and spared[at][0] <= a:
+                    reach = max(reach, spared[at][1])
+                    at += 1
+                if b > reach:
+                    kept.append((a, b, w))
+            out = kept
         return out
 
     def features(self, text: str | None) -> tuple[float, float]:
@@ -212,7 +222,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     # At most SAMPLE rows of two numbers: small enough to send to every task.
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "_id").groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies teach nothing new
-    sample = stored(sample, "toxicity-sample")
+    # An id may come with many texts: the bound holds for texts as well.
+    sample = stored(sample.orderBy(F.xxhash64("text"), F.length("text")).limit(SAMPLE), "toxicity-sample")
     n = sample.agg(F.count("*").alias("docs"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not n["toxic"] or n["toxic"] == n["docs"]:
         return Lexicon()
@@ -225,8 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     expected = F.col("uses") * F.lit(words["t"] / words["a"])
     surprise = (F.col("toxic_uses") - expected) / F.sqrt(expected)
     marks = stems.withColumn("weight", odds).withColumn("surprise", surprise)
-    marks = marks.where((F.col("toxic") >= SUPPORT) & (F.col("weight") >= ODDS) & (presence >= 0.5) & (F.col("surprise") >= 6.0))
-    marks = marks.orderBy(F.col("surprise").desc(), "pattern").limit(ENTRIES).collect()
+    marks = marks.where((F.col("toxic") >= SUPPORT) & (F.col("weight") >= ODDS) & (presence >= 0.5) & (F.col("surprise") >= SURPRISE)).collect()
     lexicon = Lexicon(_choose(marks))
 
     def phrases(folded: str) -> Counter:
@@ -244,8 +254,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     # A phrase is an exception if the entry in it says nothing there: no commoner in toxic documents than elsewhere.
     base = n["toxic"] / n["docs"]
     kind = _counts(sample, phrases).where((F.col("docs") - F.col("toxic") >= 2 * SUPPORT) & (F.col("toxic") < F.col("docs") * base))
-    spared = kind.orderBy((F.col("docs") - F.col("toxic")).desc(), "pattern").limit(EXCEPTIONS).collect()
-    lexicon = Lexicon(lexicon.entries, [r["pattern"] for r in spared])
+    lexicon = Lexicon(lexicon.entries, sorted(r["pattern"] for r in kind.collect()))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = lexicon.matcher_once()

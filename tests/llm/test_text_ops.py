@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -317,6 +318,43 @@ def test_exceptions_spare_their_hits():
     assert [w for _, _, w in m.hits(toxicity.fold("trash trash can idiot"))] == [3.0, 4.0]
 
 
+def test_matcher_equals_a_plain_scan():
+    """The same lexicon without the automaton: every entry and exception at every place of the text."""
+    rng = random.Random(8)
+    for _ in range(150):
+        word = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(1, 4)))
+        entries = {rng.choice([f" {w}", f" {w} "]): round(rng.uniform(1, 5), 3) for w in (word() for _ in range(8))}
+        spared = [f" {word()} {word()} " for _ in range(5)] + [f" {word()} {word()} {word()}" for _ in range(2)]
+        text = toxicity.fold(" ".join(word() for _ in range(rng.randint(0, 60))))
+        places = lambda p: [i for i in range(len(text)) if text.startswith(p, i)]
+        covers = [(i, i + len(p)) for p in spared for i in places(p)]
+        best = {}
+        for p, w in entries.items():
+            for i in places(p):
+                if i not in best or best[i][1] < w:
+                    best[i] = (i + len(p), w)
+        want = [(a, b, w) for a, (b, w) in sorted(best.items()) if not any(s <= a and b <= e for s, e in covers)]
+        assert toxicity.Lexicon(entries, spared).matcher().hits(text) == want
+
+
+def test_exceptions_cost_no_more_than_the_text():
+    m = toxicity.Lexicon({" trash": 3.0}, [" trash can "]).matcher()
+    start = time.monotonic()
+    assert m.hits(toxicity.fold("trash can " * 100_000)) == []
+    assert time.monotonic() - start < 20
+
+
+def test_toxicity_sample_counts_texts(spark, monkeypatch):
+    """One labelled id with very many texts is cut to the documented bound."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 50)
+    docs = spark.createDataFrame([(1, f"idiot w{i}" if i % 2 else f"fine w{i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "stored", lambda df, purpose: seen.append((purpose, df.count())) or df)
+    toxicity.learn(docs, labels)
+    assert dict(seen)["toxicity-sample"] == 50
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op4_lexicon_toxicity"](spark, SF01)
     labels = spark.read.parquet(SF01 + "/labels.parquet")
