@@ -4,9 +4,9 @@ to one task.
 ``lag(x) OVER (PARTITION BY key ORDER BY ts)`` sorts every key in a single
 task; one key holding a third of the data would stall the job.  Here the
 order is cut into time buckets: the lag runs per (key, bucket), and the first
-row of each bucket takes the last row of the key's previous non-empty bucket
-from a small per-bucket table.  A hot key spreads over as many tasks as it
-has buckets.
+row of each bucket takes the last row of the key's previous non-empty bucket,
+found among the first and last rows of all buckets.  The input is shuffled
+once; a hot key spreads over as many tasks as it has buckets.
 """
 
 from __future__ import annotations
@@ -49,31 +49,17 @@ def with_previous_row(
     previous row is well defined.  Null keys form a key of their own and null
     buckets come first, as in a plain ``lag``.
     """
-    keyed = df.withColumn(_BUCKET, bucket)
-    inner_order = Window.partitionBy(*keys, _BUCKET).orderBy(*order_cols)
-
-    # Last row of each (key, bucket): a mergeable max over a struct, partially
-    # aggregated before its shuffle.  The struct holds all columns, so that an
-    # aggregated input has the same exchange in both branches and runs once.
-    first = [*order_cols, *[c for c in carry if c not in order_cols]]
-    whole = [*first, *[c for c in df.columns if c not in first]]
-    last = keyed.groupBy(*keys, _BUCKET).agg(F.max(F.struct(*[F.col(c) for c in whole])).alias("_last"))
-    edges = last.select(
-        *[F.col(k).alias("_k_" + k) for k in keys],
-        F.col(_BUCKET).alias("_k" + _BUCKET),
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BUCKET)).alias("_edge"),
-    )
-
-    on = F.col(_BUCKET).eqNullSafe(F.col("_k" + _BUCKET))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col("_k_" + k))
-    joined = keyed.join(edges, on, "left")
-    rn = F.row_number().over(inner_order)
-    prev = {
-        c: F.when(rn == 1, F.col("_edge").getField(c)).otherwise(F.lag(c).over(inner_order))
-        for c in carry
-    }
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[expr.alias(prefix + c) for c, expr in prev.items()],
+    inner = Window.partitionBy(*keys, _BUCKET).orderBy(*order_cols)
+    seen = df.withColumn(_BUCKET, bucket).select(
+        *df.columns,
+        *[F.lag(c).over(inner).alias(prefix + c) for c in carry],
+        F.row_number().over(inner).alias("_place"),
+        F.lead(F.lit(True)).over(inner).isNull().alias("_is_last"),
     )
+    names = [*df.columns, *[prefix + c for c in carry]]
+    # Both branches read one exchange by (key, bucket).  The edges are at most two rows of a
+    # bucket: a first row's neighbour there is the last row of the key's bucket before.
+    across = Window.partitionBy(*keys).orderBy(*order_cols)
+    edges = seen.where((F.col("_place") == 1) | F.col("_is_last"))
+    edges = edges.select(*df.columns, "_place", *[F.lag(c).over(across).alias(prefix + c) for c in carry])
+    return seen.where(F.col("_place") > 1).select(*names).union(edges.where(F.col("_place") == 1).select(*names))
