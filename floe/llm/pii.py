@@ -7,15 +7,18 @@ Native: DataFrame functions and MLlib's JVM trees only.
    spelt out.  A text is cut by a pattern once; lengths of the cuts give the
    offsets (by running sums over narrow rows), their ends the context.
 2. A base match that passes its check (parts, Luhn, digits) is always redacted.
-3. Boosted trees, fitted on at most ``SAMPLE`` proposals, learn from format
-   and context which proposals look like such data: base spans, and proposals
-   that pass the wide check of their kind (``_wide``).  They see neither the
-   marks that make a base match (``@`` and its spelling, ``+``) nor an issuer's
-   digits, an ending in letters or the order of a phone's groups.  Thresholds
-   per kind are calibrated on all proposals that are no base spans, overlap
-   none and have a hit that was not fitted on: the lowest score from which the
-   precision stays at ``PRECISION``.  Such proposals above it are added,
-   earlier ones first; a kind without a threshold goes by its wide check.
+3. Boosted trees, fitted on at most ``SAMPLE`` proposals and on the proposals
+   of ``SEEDS`` generated texts, learn from format and context which proposals
+   look like such data: base spans, and proposals that pass the wide check of
+   their kind (``_wide``).  What decides that check is held back from them: the
+   marks of a base match (``@`` and its spelling, ``+``), check digits and an
+   issuer's digits, the range of an address's numbers, an ending in letters,
+   the order of a phone's groups.  Thresholds per kind are calibrated on all
+   proposals that are no base spans, overlap none and have a hit that was not
+   fitted on: the lowest score from which the precision stays at ``PRECISION``.
+   A kind with fewer than ``LEAST`` of those goes by the score ``DEFAULT``; one
+   that has them but reaches the precision nowhere gets nothing.  Proposals at
+   or above their threshold are added, earlier ones first.
 
 Patterns use possessive repeats and anchors at run starts, so the time is
 linear in the text and the matches are those of the plain patterns.
@@ -23,7 +26,7 @@ linear in the text and the matches are those of the plain patterns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from floe.llm.common import free_name, stored
@@ -43,8 +46,10 @@ PATTERNS = {
 GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "number": r"[0-9]", "spelt": r"[\[({]at[\])}]"}
 #: Proposals fitted on at most, and the precision thresholds are set for.
 SAMPLE, PRECISION = 20_000, 0.95
-#: Bins of the score for the thresholds, and the proposals a threshold has to rest on.
-BINS, LEAST = 1_000, 20
+#: Bins of the score for the thresholds, the proposals a threshold has to rest on, and the score that serves below.
+BINS, LEAST, DEFAULT = 1_000, 20, 0.8
+#: Generated texts that are fitted on as well, so that there always are examples of every kind and label.
+SEEDS = 2_000
 CONTEXT = 24
 
 
@@ -141,7 +146,7 @@ def proposals(rows: DataFrame) -> DataFrame:
 
 
 FEATURES = (
-    "length digits dots dashes spaces parens distinct_digits groups longest_group luhn bytes_ok "
+    "length digits dots dashes spaces parens distinct_digits groups longest_group "
     "glued_before glued_after after_quote cue_phone cue_card cue_ip cue_mail is_email is_ip is_card is_phone"
 ).split()
 
@@ -165,8 +170,6 @@ def _features(spans: DataFrame) -> DataFrame:
         "distinct_digits": F.size(F.array_distinct(F.split(d, ""))),
         "groups": F.size(groups),
         "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
-        "luhn": F.when(F.length(d).between(13, 19), F.expr("luhn_check(regexp_replace(hit, '[^0-9]', ''))")).otherwise(F.lit(False)),
-        "bytes_ok": hit.rlike(rf"^0*{_BYTE}(?:\.0*{_BYTE}){{3}}$"),
         "glued_before": before.rlike(r"[\p{L}0-9_=/.-]$"),
         "glued_after": F.col("after").rlike(r"^[\p{L}0-9_=/-]"),
         "after_quote": before.rlike("[\"'=:]\\s?$"),
@@ -199,45 +202,92 @@ def _sample(labelled: DataFrame) -> DataFrame:
 
 
 def _limits(scored: DataFrame) -> DataFrame:
-    """``(kind, least)``: the threshold of each kind whose proposals of half 1 reach the precision.
+    """``(kind, least)``: the threshold of each kind.
 
-    All of them count, in ``BINS`` bins of the score: a few thousand rows however many proposals there are.
+    From the proposals of half 1, the lowest score at which ``LEAST`` or more
+    keep the precision; if there is none, the score above all false proposals of either half, ``DEFAULT`` at least.
+    All proposals count, in ``BINS`` bins of the score: a few thousand rows however many there are.
     """
     at = F.floor(F.col("score") * BINS).cast("int")
-    bins = scored.where("half = 1").groupBy("kind", at.alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+    mine = (F.col("half") == 1).cast("long")
+    bins = scored.groupBy("kind", at.alias("bin")).agg(F.sum(mine).alias("n"), F.sum(mine * F.col("label")).alias("right"), F.min("label").alias("least_label"))
     down = Window.partitionBy("kind").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    so_far = bins.select("kind", "bin", F.sum("n").over(down).alias("n"), F.sum("right").over(down).alias("right"))
+    so_far = bins.select("kind", "bin", F.sum("n").over(down).alias("n"), F.sum("right").over(down).alias("right"), "least_label")
     enough = (F.col("n") >= LEAST) & (F.col("right") >= PRECISION * F.col("n")) & (F.col("bin") >= BINS // 2)
-    return so_far.where(enough).groupBy("kind").agg((F.min("bin") / F.lit(float(BINS))).alias("least"))
+    precise = F.min(F.when(enough, F.col("bin"))) / F.lit(float(BINS))
+    top_false = F.coalesce(F.max(F.when(F.col("least_label") == 0, F.col("bin"))), F.lit(-1)) + 1
+    return so_far.groupBy("kind").agg(F.coalesce(precise, F.greatest(top_false / F.lit(float(BINS)), F.lit(DEFAULT))).alias("least"))
+
+
+def _seeds(spark: SparkSession) -> DataFrame:
+    """``SEEDS`` texts, one number or address each, in the formats the checks know and in some that they refuse."""
+    i = F.col("id")
+
+    def digits(k: int, salt: int) -> Column:
+        return F.left(F.regexp_replace(F.sha2(F.concat(i.cast("string"), F.lit(f":{salt}")), 512), "[^0-9]", ""), F.lit(k))
+
+    def name(salt: int) -> Column:
+        return F.translate(digits(6, salt), "0123456789", "abcdeoruim")
+
+    def number(low: int, high: int, salt: int) -> Column:
+        return (F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(high - low)) + low).cast("string")
+
+    def luhn(body: Column) -> Column:
+        last = F.filter(F.sequence(F.lit(0), F.lit(9)), lambda c: F.call_function("luhn_check", F.concat(body, c.cast("string"))))
+        return F.concat(body, F.get(last, 0).cast("string"))
+
+    def grouped(c: Column, sep: str) -> Column:
+        return F.regexp_replace(c, "([0-9]{4})(?=[0-9])", f"$1{sep}")
+
+    visa, amex = luhn(F.concat(F.lit("4"), digits(14, 1))), luhn(F.concat(F.lit("37"), digits(12, 2)))
+    made = [
+        F.concat(name(3), F.lit("."), digits(2, 4), F.lit("@"), name(5), F.lit(".com")),
+        F.concat(name(3), F.lit(" [at] "), name(5), F.lit(" [dot] org")),
+        F.concat_ws(".", *[number(1, 255, k) for k in range(4)]),
+        F.concat_ws(".", number(0, 9, 1), number(0, 30, 2), number(256, 999, 3), number(0, 99, 4)),
+        visa, grouped(visa, " "), grouped(visa, "-"), amex,
+        # Of numbers that only look like cards, nine in ten fail the check digit.
+        digits(16, 6), grouped(digits(16, 6), " "), grouped(digits(16, 6), "-"), digits(15, 6), digits(14, 6),
+        F.concat(F.lit("16"), digits(11, 7)),
+        F.concat(F.lit("+1 ("), number(200, 999, 8), F.lit(") 555-"), digits(4, 9)),
+        F.concat(F.lit("("), number(200, 999, 8), F.lit(") 555-"), digits(4, 9)),
+        F.concat(number(200, 999, 8), F.lit("-555-"), digits(4, 9)),
+        F.concat(F.lit("phone "), digits(9, 10)), digits(9, 10),
+        number(1900, 2031, 11),
+        F.concat_ws("-", number(1990, 2031, 11), number(10, 13, 12), number(10, 29, 13)),
+    ]
+    hit = F.get(F.array(*made), F.pmod(i, F.lit(len(made))).cast("int"))
+    text = F.concat(name(14), F.lit(" "), name(15), F.lit(" "), hit, F.lit(" "), name(16))
+    return spark.range(SEEDS).select(i.alias("_row"), F.lit(None).cast("long").alias("_doc"), text.alias("text"))
+
+
+def _labelled(spans: DataFrame, purpose: str) -> DataFrame:
+    """Proposals with ``label`` (base span, or the wide check holds), ``half`` and ``clear``."""
+    every = spans.where("generator IS NOT NULL")
+    every = every.withColumn("label", (F.col("base") | _wide(every)).cast("double")).withColumn("half", F.pmod(F.xxhash64("hit"), F.lit(2)))
+    return stored(_clear(every), purpose)
 
 
 def _chosen(spans: DataFrame) -> DataFrame:
-    """Scores and selection of the proposals that are no base spans and overlap none.
-
-    A kind without a calibrated threshold (too few proposals, or no score with
-    the precision) goes by its wide check alone, and so does every kind if
-    there are no two labels to learn from.
-    """
+    """Scores and selection of the proposals that are no base spans and overlap none: by the trees' score alone."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    every = spans.where("generator IS NOT NULL")
-    every = every.withColumn("label", (F.col("base") | _wide(every)).cast("double")).withColumn("half", F.pmod(F.xxhash64("hit"), F.lit(2)))
-    every = stored(_clear(every), "pii-labelled")
+    every = _labelled(spans, "pii-labelled")
+    seeds = _labelled(proposals(_seeds(spans.sparkSession)), "pii-seeds")
     loose = every.where("clear")
     columns = ["_row", "kind", "start", "stop", "score"]
-    sample = _sample(every)
-    if sample.select("label").distinct().count() < 2:
-        return loose.where("label = 1").withColumn("score", F.col("label")).select(*columns)
-    assemble = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features")
+    fitted = [*[f"f_{n}" for n in FEATURES], "label"]
+    sample = _sample(every).select(*fitted).union(_features(seeds).select(*fitted))
+    assemble = VectorAssembler(inputCols=fitted[:-1], outputCol="features")
     trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=20, maxDepth=4, stepSize=0.3, seed=6)
     model = trees.fit(assemble.transform(sample).select("features", "label").coalesce(4))
     p = vector_to_array(F.col("probability"))[1]
     scored = model.transform(assemble.transform(_features(loose))).select(*columns[:-1], p.alias("score"), "label", "half")
     scored = stored(scored, "pii-scores")
     limits = stored(_limits(scored), "pii-thresholds")
-    taken = F.coalesce(F.col("score") >= F.col("least"), F.col("label") == 1)
+    taken = F.col("score") >= F.coalesce("least", F.lit(DEFAULT))
     return scored.join(F.broadcast(limits), "kind", "left").where(taken).select(*columns)
 
 
