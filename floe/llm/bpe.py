@@ -8,9 +8,9 @@ window of a few pre-tokens around the join is encoded again and grows until
 its encoding starts like the left result and meets a pre-token boundary of the
 right one; from a common boundary on both are the same, so the join is exact.
 Text that pre-tokenisation leaves in one piece (a word of many thousand
-characters) is handled likewise one level down: its halves are merged
-separately, and tokens around the join are merged again until the new ones are
-compatible with both neighbours.
+characters) is handled likewise one level down: where two leaves meet inside
+a word, the tokens they have already stand, and only those in a window around
+the join are merged again, growing until the new ones are compatible with both neighbours.
 
 Exactness at a boundary: the byte-level pattern reads left to right and looks
 at most two characters beyond a pre-token's end ("'ll"), so a boundary with
@@ -173,8 +173,32 @@ class Codec:
                 return middle
             width = max(1, 2 * width)
 
+    def _one_word(self, text: str, left: Part, right: Part) -> bool:
+        """Whether the last pre-token of ``left`` surely goes on as the first one of ``right``: letters on both
+        sides, more of them than a contraction has, and no boundary of pre-tokens between."""
+        if not len(left.cuts) or not len(right.cuts) or right.cuts[0] != right.start:
+            return False
+        a = text[int(left.cuts[-1]) : left.end].removeprefix(" ")
+        b = text[right.start : int(right.cuts[1]) if len(right.cuts) > 1 else right.end]
+        if len(a) < LOOK or not (a.isalpha() and b.isalpha()):
+            return False
+        begin = left.end - LOOK
+        near = self.tokenizer.pre_tokenizer.pre_tokenize_str(text[begin : left.end + LOOK])
+        return all(begin + at != left.end for _, (at, _) in near)
+
+    def _joined_word(self, left: Part, right: Part) -> Part:
+        """Two parts that meet inside a word: its halves' tokens agree around the join, all others stand."""
+        lf = int(left.first[-1])
+        rf = int(right.first[1]) if len(right.first) > 1 else len(right.ids)
+        middle = self.concat(left.ids[lf:].tolist(), right.ids[:rf].tolist())
+        ids = np.concatenate([left.ids[:lf], np.array(middle, np.uint32), right.ids[rf:]])
+        first = np.concatenate([left.first, right.first[1:] - rf + lf + len(middle)])
+        return Part(left.start, right.end, ids, np.concatenate([left.cuts, right.cuts[1:]]), first)
+
     def join(self, text: str, left: Part, right: Part) -> Part:
         """The encoding of two adjacent parts' joint text."""
+        if self._one_word(text, left, right):
+            return self._joined_word(left, right)
         width = 4
         while True:
             i = max(len(left.cuts) - width, 0)
@@ -318,7 +342,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     short = rows.where(F.length("text") <= long).mapInPandas(_short(path, decoded), out)
     wide = rows.where(F.length("text") > long).withColumn("row", F.monotonically_increasing_id())
     leaf = "row long, doc_id string, segment long, start long, leaf string"
-    leaves = wide.mapInPandas(_cut(path), leaf).repartition("row", "segment", "start")
+    # A count of its own: leaves are few bytes and much work, and would be merged by their bytes.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = wide.mapInPandas(_cut(path), leaf).repartition(tasks, "row", "segment", "start")
     done = leaves.mapInPandas(_encode_leaves(path), f"{leaf}, ids binary, cuts binary, first binary")
     both = short.union(map_groups(done, ["row"], _join_leaves(path, decoded), out))
     return both.withColumn("doc_id", F.col("doc_id").cast("long"))

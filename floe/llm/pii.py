@@ -15,10 +15,10 @@ Native: DataFrame functions and MLlib's JVM trees only.
    issuer's digits, the range of an address's numbers, an ending in letters,
    the order of a phone's groups.  Thresholds per kind are calibrated on all
    proposals that are no base spans, overlap none and have a hit that was not
-   fitted on: the lowest score from which the precision stays at ``PRECISION``.
-   A kind with fewer than ``LEAST`` of those goes by the score ``DEFAULT``; one
-   that has them but reaches the precision nowhere gets nothing.  Proposals at
-   or above their threshold are added, earlier ones first.
+   fitted on: the lowest score at which ``LEAST`` or more keep the precision
+   ``PRECISION``.  A kind without such a score goes by the score above all its
+   false proposals, ``DEFAULT`` at least.  Proposals at or above their
+   threshold are added, earlier ones first.
 
 Patterns use possessive repeats and anchors at run starts, so the time is
 linear in the text and the matches are those of the plain patterns.
@@ -287,8 +287,7 @@ def _chosen(spans: DataFrame) -> DataFrame:
     scored = model.transform(assemble.transform(_features(loose))).select(*columns[:-1], p.alias("score"), "label", "half")
     scored = stored(scored, "pii-scores")
     limits = stored(_limits(scored), "pii-thresholds")
-    taken = F.col("score") >= F.coalesce("least", F.lit(DEFAULT))
-    return scored.join(F.broadcast(limits), "kind", "left").where(taken).select(*columns)
+    return scored.join(F.broadcast(limits), "kind").where(F.col("score") >= F.col("least")).select(*columns)
 
 
 def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

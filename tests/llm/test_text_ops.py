@@ -46,6 +46,33 @@ def test_tree_and_pieces_equal_the_library(monkeypatch):
             assert c.encode_tree(t, leaf).tolist() == want, (t, leaf)
 
 
+def test_unsplit_word_is_encoded_again_only_around_the_joins(monkeypatch):
+    c = bpe.Codec(BYTE)
+    rng = random.Random(9)
+    n = 262_144
+    for word in ("".join(rng.choice("etaoinshrdlu") for _ in range(n)), "é" * n, " " + "ab" * (n // 2) + " end"):
+        parts = [c.leaf(word[a : a + bpe.LEAF], a) for a in range(0, len(word), bpe.LEAF)]
+        again = []
+        merge, leaf = c._merge, c.leaf
+        monkeypatch.setattr(c, "_merge", lambda m: again.append(len(m)) or merge(m))
+        monkeypatch.setattr(c, "leaf", lambda t, s: again.append(len(t)) or leaf(t, s))
+        got = c.tree(word, parts).ids.tolist()
+        monkeypatch.undo()
+        assert got == c.tokenizer.encode(word, add_special_tokens=False).ids
+        assert len(parts) >= 16 and sum(again) < 0.05 * n
+
+
+def test_joins_beside_contractions_and_letters():
+    """Leaves that end after an apostrophe, inside a contraction or inside a word."""
+    c = bpe.Codec(BYTE)
+    rng = random.Random(10)
+    bits = ["'", "'s", "'re", "re", "r", "s", "ll", "strange", "it", " ", "é", "漢字", "12", "!", "　", "abcdefgh"]
+    for _ in range(600):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(1, 30)))
+        for leaf in (1, 2, 3, 5, 8):
+            assert c.encode_tree(t, leaf).tolist() == c.tokenizer.encode(t, add_special_tokens=False).ids, (t, leaf)
+
+
 def test_unsplit_word_by_halves(monkeypatch):
     c = bpe.Codec(BYTE)
     monkeypatch.setattr(bpe, "UNSPLIT", 5)
