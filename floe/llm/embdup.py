@@ -11,13 +11,15 @@ threshold meets in one of them with probability ``recall``.
 3. Members of a bucket meet in cells of at most two chunks; a cell multiplies
    two dense blocks.  A pair is counted in the first table in which its keys
    meet, so counts add up without listing pairs; for the components a cell
-   returns at most one edge per member.
+   returns at most one edge per member.  Vectors travel as they came, without
+   their keys.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,8 +32,8 @@ from floe.llm.shingles import mix64
 
 #: Bucket width, in unit-vector distances.
 WIDTH = 2.0
-#: Vectors per chunk; a cell holds two.
-CHUNK = 512
+#: Vectors per chunk; a cell holds two.  Vectors hashed at once.
+CHUNK, AT_ONCE = 512, 256
 
 
 def _meet(distance: float, width: float = WIDTH) -> float:
@@ -54,38 +56,72 @@ def _unit(a: np.ndarray) -> np.ndarray:
     return a / np.sqrt(a @ a)
 
 
+@lru_cache(maxsize=8)
+def _planes(dim: int, values: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng([seed, dim])
+    return rng.standard_normal((dim, values)), rng.uniform(0, WIDTH, values)
+
+
+def _keys(units: np.ndarray, k: int, tables: int, seed: int) -> np.ndarray:
+    """One 32-bit key per unit vector (of one length) and table.
+
+    Always in products of one shape, so that a vector has the same keys
+    wherever they are computed."""
+    n, dim = units.shape
+    a, b = _planes(dim, tables * k, seed)
+    keys = np.empty((n, tables), np.int32)
+    for at in range(0, n, AT_ONCE):
+        part = np.zeros((AT_ONCE, dim))
+        rows = min(AT_ONCE, n - at)
+        part[:rows] = units[at : at + rows]
+        q = np.floor((part @ a + b) / WIDTH).astype(np.int64).reshape(AT_ONCE, tables, k)
+        h = np.full((AT_ONCE, tables), dim, np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(k):
+                h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + q[:, :, i].astype(np.uint64))
+        keys[at : at + rows] = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)[:rows]
+    return keys
+
+
+def _packed(v: np.ndarray) -> bytes:
+    """The vector itself, as single-precision numbers where these are the same."""
+    short = v.astype("<f4")
+    return b"f" + short.tobytes() if (short.astype(float) == v).all() else b"d" + v.astype("<f8").tobytes()
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, "<f4" if x[:1] == b"f" else "<f8", offset=1).astype(float)
+
+
 def _hash(classes: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
-    """rep, label, copies, unit vector (bytes of doubles) and one 32-bit key per table (bytes)."""
+    """rep, label, copies, the vector (``_packed``) and one 32-bit key per table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
             keys = np.empty((len(pdf), tables), np.int32)
-            units = [_unit(np.asarray(v, float)) for v in pdf["v"]]
-            dims = np.array([len(u) for u in units])
+            vectors = [np.asarray(v, float) for v in pdf["v"]]
+            dims = np.array([len(v) for v in vectors])
             for d in np.unique(dims):
-                if d not in planes:
-                    rng = np.random.default_rng([seed, int(d)])
-                    planes[d] = rng.standard_normal((d, tables * k)), rng.uniform(0, WIDTH, tables * k)
-                a, b = planes[d]
                 rows = np.flatnonzero(dims == d)
-                for part in np.array_split(rows, max(1, len(rows) // 2048)):
-                    q = np.floor((np.stack([units[i] for i in part]) @ a + b) / WIDTH).astype(np.int64)
-                    h = np.full((len(part), tables), d, np.uint64)
-                    for i in range(k):
-                        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + q.reshape(len(part), tables, k)[:, :, i].astype(np.uint64))
-                    keys[part] = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                keys[rows] = _keys(np.stack([_unit(vectors[i]) for i in rows]), k, tables, seed)
             yield pd.DataFrame(
-                {"rep": pdf["rep"].to_numpy(), "label": pdf["label"].to_numpy(), "copies": pdf["copies"].to_numpy(), "u": [u.tobytes() for u in units], "keys": list(keys)}
+                {
+                    "rep": pdf["rep"].to_numpy(),
+                    "label": pdf["label"].to_numpy(),
+                    "copies": pdf["copies"].to_numpy(),
+                    "x": [_packed(v) for v in vectors],
+                    "keys": list(keys),
+                }
             )
 
-    return classes.mapInPandas(run, "rep long, label long, copies long, u binary, keys array<int>")
+    return classes.mapInPandas(run, "rep long, label long, copies long, x binary, keys array<int>")
 
 
-def _link_cell(threshold: float):
+def _link_cell(threshold: float, k: int, tables: int, seed: int):
     def link(g: pd.DataFrame) -> pd.DataFrame | None:
         t, i0, j0 = int(g["t"].iloc[0]), g["_i"].iloc[0], g["_j"].iloc[0]
-        size = g["u"].map(len).to_numpy()
+        units = [_unit(_unpacked(x)) for x in g["x"]]
+        size = np.array([len(u) for u in units])
         if (size != size[0]).any():  # keys of vectors of different lengths may meet by accident
             parts = [link(p) for _, p in g.groupby(size)]
             parts = [p for p in parts if p is not None]
@@ -95,7 +131,7 @@ def _link_cell(threshold: float):
         right = left if i0 == j0 else np.flatnonzero(chunk == j0)
         if not len(left) or not len(right):
             return None
-        u = np.frombuffer(b"".join(g["u"]), np.float64).reshape(len(g), -1)
+        u = np.stack(units)
         near = u[left] @ u[right].T >= threshold
         if i0 == j0:
             near &= np.triu(np.ones(near.shape, bool), 1)
@@ -103,7 +139,12 @@ def _link_cell(threshold: float):
         if not len(a):
             return None
         a, b = left[a], right[b]
-        keys = np.stack(g["keys"].to_numpy())[:, :t]
+        # Keys do not travel: those of linked vectors are computed again.
+        some = np.zeros(len(g), bool)
+        some[a] = some[b] = True
+        keys = np.empty((len(g), t), np.int32)
+        if t:
+            keys[some] = _keys(u[some], k, tables, seed)[:, :t]
         copies = g["copies"].to_numpy()
         first = np.ones(len(a), bool)
         for s in range(0, len(a), 65536):
@@ -111,8 +152,6 @@ def _link_cell(threshold: float):
         n = np.bincount(a[first], copies[b[first]], len(g)) + np.bincount(b[first], copies[a[first]], len(g))
         root = _roots(a, b, len(g))
         rep = g["rep"].to_numpy()
-        some = np.zeros(len(g), bool)
-        some[a] = some[b] = True
         return pd.DataFrame({"rep": rep[some], "n": n[some].astype(np.int64), "to": rep[root[some]]})
 
     return link
@@ -166,8 +205,9 @@ def near_vectors(
     counts = keys.groupBy("label", "t", "key").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(counts, "vector-buckets")
     dealt = cells(keys.join(shared, ["label", "t", "key"]), "rep", "size", CHUNK).drop("label")
-    dealt = dealt.join(hashed, "rep")
-    found = stored(map_groups(dealt, ["label", "t", "key", "_i", "_j"], _link_cell(threshold), "rep long, n long, to long"), "vector-links")
+    dealt = dealt.join(hashed.select("rep", "label", "copies", "x"), "rep")
+    link = _link_cell(threshold, k, tables, seed)
+    found = stored(map_groups(dealt, ["label", "t", "key", "_i", "_j"], link, "rep long, n long, to long"), "vector-links")
 
     per_class = found.groupBy("rep").agg(F.sum("n").alias("n"))
     of_copy = members.join(per_class, "rep", "left").select("id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
