@@ -33,7 +33,7 @@ from floe.llm.shingles import mix64
 #: Bucket width, in unit-vector distances.
 WIDTH = 2.0
 #: Vectors per chunk; a cell holds two.  Vectors hashed at once.
-CHUNK, AT_ONCE = 512, 256
+CHUNK, AT_ONCE = 512, 16
 
 
 def _meet(distance: float, width: float = WIDTH) -> float:
