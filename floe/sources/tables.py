@@ -30,7 +30,7 @@ def spread(df: DataFrame) -> DataFrame:
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it as is
+    except (AttributeError, NotImplementedError):  # no RDD view of the plan (a remote session): leave it as is
         return df
     return df.repartition(parallelism) if splits < parallelism else df
 
