@@ -80,7 +80,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@_add("op11_spelling_variants")
+@_add("op11_spelling_variants", spelling.ORACLE_SQL)
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 

@@ -277,3 +277,38 @@ def variants(
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns."""
     return variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, 'null') AS doc, translate(r, '{_UPPER}', '{_LOWER}') AS run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents) WHERE length(r) >= 5 GROUP BY ALL),
+coded AS (SELECT run, c, hex(encode(doc || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, c, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+    lambda a, b: xor(crc.t[(xor(a, b) & 255) + 1], a >> 8))) AS h
+  FROM coded, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3),
+shorter AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) r(i)),
+near AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM shorter a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY words.n DESC, other) AS other, max(words.n) AS other_n
+  FROM near JOIN words ON words.word = other GROUP BY near.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form, CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain(word, root, form) AS (
+  SELECT word, word, form FROM forms
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.form)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.form IS NULL
+"""
