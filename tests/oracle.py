@@ -59,10 +59,12 @@ def _norm(v):
     return (1, str(v))
 
 
-def rows_of(pdf: pd.DataFrame, cols: list[str]) -> list[tuple]:
+def rows_of(pdf: pd.DataFrame, cols: list[str], whole: set[str] = frozenset()) -> list[tuple]:
+    """Rows as comparable values; ``whole``: integer columns, which pandas holds as floats if they have nulls."""
     out = []
     for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (not isinstance(x, (list, dict)) and pd.isna(x)) else x) for x in rec))
+        values = [None if (not isinstance(x, (list, dict)) and pd.isna(x)) else x for x in rec]
+        out.append(tuple(_norm(int(x) if c in whole and x is not None else x) for c, x in zip(cols, values)))
     out.sort()
     return out
 
@@ -84,7 +86,8 @@ def compare(spark_df, sql: str, sf_dir: str) -> dict:
         },
     }
     if report["columns_match"]:
-        s_rows, d_rows = rows_of(spdf, cols), rows_of(dpdf, cols)
+        whole = {c for c, t in s_types.items() if t in ("BIGINT", "INTEGER")}
+        s_rows, d_rows = rows_of(spdf, cols, whole), rows_of(dpdf, cols, whole)
         report["values_match"] = s_rows == d_rows
         if not report["values_match"]:
             diff_s = [r for r in s_rows if r not in set(d_rows)][:5]
