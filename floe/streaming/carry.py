@@ -34,13 +34,18 @@ def run_carried(
     output_mode: str = "append",
     location: str | None = None,
     state_partitions: int | None = None,
+    keep: int = 2,
 ) -> str:
     """Run ``stream`` to the end of its input; returns the sink directory.
 
     ``table`` is the schema of the carried table, empty before the first
     batch.  ``location`` reuses sink, tables and checkpoint of an earlier run.
+    ``keep`` (2 at least: a batch run again reads the table before it) is how many batches' rows and tables
+    stay; older ones are removed, so a stream without end holds a bounded number of them.
     """
     base = location or scratch_path(spark, f"stream-{name}")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Written first: a second look at the batch would run its stateful plan again.
@@ -51,6 +56,8 @@ def run_carried(
         out, then = step(rows, carried)
         then.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
         out.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+        for part in ("rows", "table"):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{part}/batch={batch_id - max(keep, 2)}"), True)
 
     with scoped_start(spark, state_partitions):
         query = (

@@ -246,10 +246,22 @@ def test_running_totals_leave_after_their_time_to_live(spark):
         stream = spark.readStream.schema("k string, v long").option("maxFilesPerTrigger", 1).parquet(src)
         schema, step = running_totals(["k"], ["v"], ttl)
         base = scratch_path(spark, "ttl")
-        out = spark.read.parquet(run_carried(spark, stream, "ttl", schema(stream), step, location=base))
+        out = spark.read.parquet(run_carried(spark, stream, "ttl", schema(stream), step, location=base, keep=3))
         sizes = [spark.read.parquet(f"{base}/table/batch={i}").count() for i in range(3)]
         return {r.k: r.v for r in last_totals(out, ["k"], ["v"]).collect()}, sizes
 
     assert totals("1 DAY") == ({"a": 111, "b": 22, None: 44}, [3, 3, 3])
     # Every batch comes later than no time at all: only what it touches is held.
     assert totals("0 SECONDS") == ({"a": 100, "b": 20, None: 40}, [3, 1, 3])
+
+
+def test_carried_tables_of_old_batches_are_removed(spark):
+    src, base = scratch_path(spark, "batches"), scratch_path(spark, "kept")
+    for i in range(5):
+        spark.createDataFrame([("a", i)], "k string, v long").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k string, v long").option("maxFilesPerTrigger", 1).parquet(src)
+    schema, step = running_totals(["k"], ["v"], "1 DAY")
+    out = spark.read.parquet(run_carried(spark, stream, "kept", schema(stream), step, location=base))
+    assert [tuple(r) for r in last_totals(out, ["k"], ["v"]).collect()] == [("a", 10)]
+    tables = spark.read.parquet(f"{base}/table")
+    assert {r.batch for r in tables.select("batch").distinct().collect()} == {3, 4}
