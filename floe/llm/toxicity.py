@@ -222,8 +222,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     # At most SAMPLE rows of two numbers: small enough to send to every task.
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "_id").groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies teach nothing new
-    # An id may come with many texts: the bound holds for texts as well.
-    sample = stored(sample.orderBy(F.xxhash64("text"), F.length("text")).limit(SAMPLE), "toxicity-sample")
+    sample = stored(sample, "toxicity-texts")
+    # An id may come with many texts: the bound holds for texts as well, by their smallest hashes (numbers travel, no texts).
+    h = F.xxhash64("text")
+    last = sample.select(h.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h").alias("h")).first()["h"]
+    sample = sample.where(h <= F.lit(last))
     n = sample.agg(F.count("*").alias("docs"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not n["toxic"] or n["toxic"] == n["docs"]:
         return Lexicon()
