@@ -101,7 +101,7 @@ def main() -> None:
             if WITH_STREAMS:
                 secs = run(name)
                 streams[name] = round(secs, 3)
-                source = "orders" if name == "stream_proc_time" else "events"
+                source = "orders" if name in ("stream_proc_time", "stream_proc_time_once", "stream_ttl_totals") else "events"
                 rows = spark.read.parquet(f"{SF_DIR}/{source}.parquet").count()
                 stream_rate[name] = round(rows / secs)
             continue
