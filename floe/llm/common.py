@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.session import scoped_conf, scratch_path
@@ -16,6 +16,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows a Python worker is handed at once: texts are long, and workers stay while later stages run.
 BATCH_ROWS = "1000"
 
+#: Bits of a bitmap (fixed by ``bitmap_construct_agg``), bitmaps of a sieve at most (32 MB in all), bits a key.
+BITMAP, BITMAPS, SPARE = 32_768, 8_192, 16
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
@@ -30,6 +33,25 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sieved(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts, without a shuffle of them: those whose ``key`` may be among ``keys``, and those whose key surely is not.
+
+    A bitmap of key hashes, in blocks of ``BITMAP`` bits, goes to every task.
+    Every row with one of the keys is in the first part, with about one in
+    ``SPARE`` of the others (more beyond ``BITMAPS * BITMAP / SPARE`` keys), so
+    only that part of a wide table has to be dealt for a join.  A null key
+    counts as a value.  ``keys`` is read twice, ``rows`` once a part.
+    """
+    blocks = min(BITMAPS, max(1, -(-keys.count() * SPARE // BITMAP)))
+    bit = F.pmod(F.xxhash64(f"`{key}`"), F.lit(blocks * BITMAP))
+    block, place = F.floor(bit / F.lit(BITMAP)).cast("int"), F.pmod(bit, F.lit(BITMAP)).cast("int")
+    bits = F.call_function("bitmap_construct_agg", F.col("_place").cast("long"))
+    bitmaps = stored(keys.select(block.alias("_block"), place.alias("_place")).groupBy("_block").agg(bits.alias("_bits")), "sieve")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = (block == F.col("_block")) & (F.getbit(byte, F.pmod(place, F.lit(8))) == 1)
+    return tuple(rows.join(F.broadcast(bitmaps), found, how) for how in ("left_semi", "left_anti"))
+
+
 def free_name(base: str, columns: Iterable[str]) -> str:
     """``base``, with underscores added until it is no column's name (Spark's names ignore case)."""
     taken = {c.lower() for c in columns}

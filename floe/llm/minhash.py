@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.llm.common import free_name, map_groups, stored
+from floe.llm.common import free_name, map_groups, sieved, stored
 from floe.llm.components import connected_components
 from floe.llm.shingles import MinHasher, chunks, mix64, shingle_hashes, shingle_sets
 
@@ -90,7 +90,8 @@ def _star_links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     mine = F.pmod(F.xxhash64("member"), F.col("parts").cast("long")).cast("int")
     members = pairs.join(parts, "pivot").select("pivot", mine.alias("part"), F.col("member").alias("id"))
     centres = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("id"))
-    rows = members.union(centres).join(texts, "id")
+    some, _ = sieved(texts, pairs.select(F.explode(F.array("pivot", "member")).alias("id")), "id")
+    rows = members.union(centres).join(some, "id")
 
     def confirm(g: pd.DataFrame) -> pd.DataFrame | None:
         sets = list(shingle_sets(g["text"].tolist(), words))
@@ -230,16 +231,20 @@ def near_duplicates(
     classes = filled.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top")
     copies = stored(classes.select("f1", "f2", "rep"), "minhash-copies")
     copy_of = stored(filled.select("id", "f1", "f2").join(copies, ["f1", "f2"]), "minhash-copy-of")
-    reps = filled.join(copy_of.where("id != rep"), ["id", "f1", "f2"], "left_anti")
+    others = copy_of.where("id != rep")
+    some, single = sieved(filled, others.select("id"), "id")
+    reps = single.union(some.join(others, ["id", "f1", "f2"], "left_anti").select(*filled.columns))
     reps = reps.select(F.col("id").alias("rep"), "bands", "sig")
 
     keys = reps.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top")
     buckets = stored(buckets.select("key", "pivot"), "minhash-shared")
-    bucket_rows = stored(keys.join(buckets, "key"), "minhash-buckets")
+    some, _ = sieved(keys, buckets.select("key"), "key")
+    bucket_rows = stored(some.join(buckets, "key"), "minhash-buckets")
     wanted = stored(bucket_rows.select("rep").distinct(), "minhash-wanted")
     sigs = stored(reps.select("rep", "sig").join(wanted, "rep", "left_semi"), "minhash-wanted-signatures")
-    texts = stored(texts.join(wanted.withColumnRenamed("rep", "id"), "id", "left_semi"), "minhash-wanted-texts")
+    # A few texts more than are wanted: no join below looks at them.
+    texts = stored(sieved(texts, wanted.withColumnRenamed("rep", "id"), "id")[0], "minhash-wanted-texts")
     pairs = bucket_rows.where("pivot != rep").select("pivot", F.col("rep").alias("member")).distinct()
     agree = _sig_agreement(F.col("sa"), F.col("sb"))
     likely = (
@@ -293,12 +298,15 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     found = near_duplicates(rows.select(F.col(key).alias("k"), text.alias("t")), "k", "t", words, percent)
     linked = stored(found.where("id != component").select("id", "component"), "minhash-linked")
     # The component's own row is a member too.
-    members = linked.union(linked.select(F.col("component").alias("id"), "component").distinct())
-    order = rows.select(F.col(key).alias("id"), id_.isNull().alias("unnamed"), id_.alias("doc"), F.sha2(text.cast("binary"), 256).alias("sha"))
+    members = stored(linked.union(linked.select(F.col("component").alias("id"), "component").distinct()), "minhash-grouped")
+    # Only rows that may be in a group are dealt; the others stay where they are.
+    some, single = sieved(rows, members.select(F.col("id").alias(key)), key)
+    order = some.select(F.col(key).alias("id"), id_.isNull().alias("unnamed"), id_.alias("doc"), F.sha2(text.cast("binary"), 256).alias("sha"))
     members = stored(members.join(order, "id"), "minhash-members")
     stays = members.groupBy("component").agg(F.min(F.struct("unnamed", "doc", "sha", "id")).alias("first")).select(F.col("first.id").alias("id"))
     gone = members.join(stays, "id", "left_anti").select(F.col("id").alias(key))
-    return rows.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(*names).union(some.join(gone, key, "left_anti").select(*names))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from floe.llm.common import free_name, stored
+from floe.llm.common import free_name, sieved, stored
 
 KINDS = ("email", "ip", "card", "phone")
 _BYTE = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
@@ -348,7 +348,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     runs = kept.withColumn("run", F.sum(fresh.cast("int")).over(by_start)).groupBy("_row", "run")
     runs = runs.agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("kind", F.struct("start", "stop", "kind")).alias("kind"))
     lists = runs.groupBy(F.col("_row").alias(key)).agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind"))).alias(marks))
-    both = rows.join(lists, key, "left")
+    lists = stored(lists, "pii-marks")
+    # Only texts that may have a span are dealt; the others stay where they are.
+    some, plain = sieved(rows, lists.select(key), key)
+    both = some.join(lists, key, "left")
     text, spans = F.col(f"`{text_col}`"), F.col(marks)
 
     def piece(s: Column, i: Column) -> Column:
@@ -357,4 +360,5 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     tail = F.substring(text, F.element_at(spans, -1)["stop"].cast("int") + 1, F.length(text))
     clean = F.when(spans.isNull(), text).otherwise(F.concat(F.array_join(F.transform(spans, piece), ""), tail))
-    return both.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in names])
+    marked = both.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in names])
+    return marked.union(plain.select(*[F.col(f"`{c}`") for c in names]))
